@@ -1,0 +1 @@
+"""Empty on purpose: the data model has no timestamps, so there is nothing to stream."""
