@@ -72,7 +72,15 @@ def dictionary_codes(values: DataFrame, column: str) -> DataFrame:
     return placed.join(F.broadcast(starts), "_part").select(column, code.cast("int").alias("code"))
 
 
-def encode(df: DataFrame, column: str, codes: DataFrame, output: str) -> DataFrame:
-    """Replace a value by its code; a value without one gets -1."""
+def encode(
+    df: DataFrame, column: str, codes: DataFrame, output: str, broadcast_rows: int = 1_000_000
+) -> DataFrame:
+    """Replace a value by its code; a value without one gets -1.
+
+    The dictionary is counted first: up to ``broadcast_rows`` entries it is sent to
+    the rows, which then stay where they are. A larger one is joined by shuffle.
+    """
     renamed = codes.select(F.col(column), F.col("code").alias(output))
+    if codes.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        renamed = F.broadcast(renamed)
     return df.join(renamed, column, "left").withColumn(output, F.coalesce(output, F.lit(-1)))

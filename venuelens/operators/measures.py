@@ -138,6 +138,10 @@ def dataset_facts(fact: DataFrame) -> DataFrame:
     )
 
 
+def cost_skewness(fact: DataFrame) -> DataFrame:
+    return fact.agg(S.adjusted_skewness(F.col("cost")).alias("cost_skew"))
+
+
 def cost_profile(fact: DataFrame) -> DataFrame:
     """Mean, exact median and 90th percentile, and adjusted skewness of cost."""
     moments = fact.agg(
@@ -277,8 +281,7 @@ def tier_summary(fact: DataFrame, labels: dict[int, str], keep_empty: bool = Tru
         ),
         sorted(labels.items()),
     )
-    # The left side is the fixed list of tiers.
-    joined = tiers.join(grouped, "price_label", "left" if keep_empty else "inner")
+    joined = tiers.join(F.broadcast(grouped), "price_label", "left" if keep_empty else "inner")
     restaurants = F.coalesce("n", F.lit(0))
     return joined.select(
         "price_range",
@@ -515,14 +518,14 @@ def spearman(fact: DataFrame, x: str = "cost", y: str = "rating") -> DataFrame:
     value shared by many venues is one row in every join.
     """
     known = fact.where(F.col("credible") & F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
-    pairs = known.groupBy(x, y).agg(venue_count().cast("double").alias("w"))
-    ranked = pairs.join(average_ranks(known, x).withColumnRenamed("rank", "rx"), x).join(
-        average_ranks(known, y).withColumnRenamed("rank", "ry"), y
+    pairs = known.groupBy(x, y).agg(venue_count().alias("w"))
+    ranked = pairs.join(average_ranks(pairs, x, "w").withColumnRenamed("rank", "rx"), x).join(
+        average_ranks(pairs, y, "w").withColumnRenamed("rank", "ry"), y
     )
-    w, rx, ry = F.col("w"), F.col("rx"), F.col("ry")
+    w, rx, ry = F.col("w").cast("double"), F.col("rx"), F.col("ry")
     # Average ranks keep the mean of plain ranks, (n + 1) / 2, whatever the ties.
     sums = ranked.agg(
-        F.sum("w").alias("n"),
+        F.sum(w).alias("n"),
         F.sum(w * rx * ry).alias("xy"),
         F.sum(w * rx * rx).alias("xx"),
         F.sum(w * ry * ry).alias("yy"),

@@ -63,7 +63,13 @@ def score(localities: DataFrame, keep_unrated: bool = False) -> DataFrame:
 
 
 def opportunity(fact: DataFrame, floor: int = Floors().locality, keep_unrated: bool = False) -> DataFrame:
-    return score(locality_totals(fact, floor), keep_unrated)
+    """Scored localities of the rows in context.
+
+    The locality table is read twice, for the baseline and for the scores, and the
+    shortlist, the lines and the bands read it again; it is cached so that the venues
+    are scanned once. It has one row per locality and is recomputed if it is lost.
+    """
+    return score(locality_totals(fact, floor).persist(), keep_unrated)
 
 
 def ranked_order() -> list[Column]:

@@ -44,9 +44,13 @@ def totals_below(values: DataFrame, value: str, weight: str) -> DataFrame:
     )
 
 
-def average_ranks(df: DataFrame, column: str) -> DataFrame:
-    """1-based rank of each distinct value, ties sharing the mean of their places."""
-    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+def average_ranks(df: DataFrame, column: str, weight: str) -> DataFrame:
+    """1-based rank of each distinct value, ties sharing the mean of their places.
+
+    ``weight`` says how many rows a row stands for.
+    """
+    known = df.where(F.col(column).isNotNull())
+    counted = known.groupBy(column).agg(F.sum(weight).alias("_n"))
     rank = F.col("below") + (F.col("_n") + 1) / 2
     return totals_below(counted, column, "_n").select(column, rank.alias("rank"))
 

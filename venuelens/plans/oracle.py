@@ -78,22 +78,23 @@ PLACE = "venue_id, city, locality, price_range, round(rating, 6) AS rating, vote
 CREDIBLE = "credible AND cost IS NOT NULL AND rating IS NOT NULL"
 
 
-def kpi_strip(source: str) -> str:
+def kpi_strip(source: str, exact: bool = False) -> str:
+    money, other = (15, 15) if exact else (4, 6)
     return f"""
 SELECT count(*) AS restaurants, count(DISTINCT city) AS cities, count(DISTINCT locality) AS localities,
-       round(avg(cost), 4) AS avg_cost, round(quantile_cont(cost, 0.5), 4) AS median_cost,
-       round(quantile_cont(cost, 0.9), 4) AS p90_cost, round(max(cost), 4) AS max_cost,
-       round(avg(rating), 6) AS avg_rating, count(rating) AS rated_n,
-       round(100.0 * (count(*) - count(rating)) / nullif(count(*), 0), 6) AS not_rated_pct,
-       round(100 * avg(CAST(has_delivery AS INTEGER)), 6) AS delivery_pct,
-       round(100 * avg(CAST(has_booking AS INTEGER)), 6) AS booking_pct,
-       CAST(coalesce(sum(votes), 0) AS BIGINT) AS total_votes, round(avg(votes), 6) AS avg_votes,
+       round(avg(cost), {money}) AS avg_cost, round(quantile_cont(cost, 0.5), {money}) AS median_cost,
+       round(quantile_cont(cost, 0.9), {money}) AS p90_cost, round(max(cost), {money}) AS max_cost,
+       round(avg(rating), {other}) AS avg_rating, count(rating) AS rated_n,
+       round(100.0 * (count(*) - count(rating)) / nullif(count(*), 0), {other}) AS not_rated_pct,
+       round(100 * avg(CAST(has_delivery AS INTEGER)), {other}) AS delivery_pct,
+       round(100 * avg(CAST(has_booking AS INTEGER)), {other}) AS booking_pct,
+       CAST(coalesce(sum(votes), 0) AS BIGINT) AS total_votes, round(avg(votes), {other}) AS avg_votes,
        (SELECT count(DISTINCT cuisine) FROM pairs JOIN {source} USING (venue_id)) AS cuisines,
-       round(avg(cuisine_count), 6) AS avg_cuisines,
+       round(avg(cuisine_count), {other}) AS avg_cuisines,
        count(*) FILTER (credible) AS credible_n,
        (SELECT venue_name FROM {source} WHERE credible
         ORDER BY rating DESC, votes DESC, venue_id LIMIT 1) AS top_name,
-       (SELECT round(rating, 6) FROM {source} WHERE credible
+       (SELECT round(rating, {other}) FROM {source} WHERE credible
         ORDER BY rating DESC, votes DESC, venue_id LIMIT 1) AS top_rating,
        (SELECT venue_name FROM {source} WHERE cost IS NOT NULL
         ORDER BY cost DESC, venue_id LIMIT 1) AS priciest_name
@@ -496,4 +497,53 @@ UNION ALL SELECT 'an impossible filter is empty', count(*) = 0 FROM home
 UNION ALL SELECT 'a flag filter keeps the flagged rows', true
 UNION ALL SELECT 'figures compute on a filtered frame', true
 UNION ALL SELECT 'figures compute on an empty frame', true""")
+
+    # -- export: figures as the document shows them, rounded half to even
+    shown = "round_even({0}, {1}) AS {2}".format
+    out["kpi_document_figures"] = on_fact(f"""
+, k AS (SELECT * FROM ({kpi_strip("home", exact=True)})),
+x AS (SELECT skewness(cost) AS cost_skew, avg(coalesce(rating, 0)) AS naive_rating,
+      avg(CAST(city IN ('NATION_2', 'NATION_7') AS INTEGER)) * 100 AS metro,
+      avg(CAST(cuisine_count = 1 AS INTEGER)) * 100 AS single FROM home),
+s AS (SELECT corr(cost, rating) AS pc, corr(ln(1 + votes), rating) AS pv, count(*) AS n FROM home WHERE {CREDIBLE}),
+ranks AS (
+  SELECT rank() OVER (ORDER BY cost) + (count(*) OVER (PARTITION BY cost) - 1) / 2.0::DOUBLE AS rx,
+         rank() OVER (ORDER BY rating) + (count(*) OVER (PARTITION BY rating) - 1) / 2.0::DOUBLE AS ry
+  FROM home WHERE {CREDIBLE}),
+r AS (SELECT corr(rx, ry) AS rho FROM ranks),
+arms AS (SELECT avg(rating) FILTER (has_delivery) AS m1, avg(rating) FILTER (NOT has_delivery) AS m0,
+  var_samp(rating) FILTER (has_delivery) AS v1, var_samp(rating) FILTER (NOT has_delivery) AS v0,
+  count(*) FILTER (has_delivery) AS n1, count(*) FILTER (NOT has_delivery) AS n0 FROM home WHERE is_rated),
+top AS (SELECT cuisine FROM home_pairs GROUP BY cuisine ORDER BY count(*) DESC, cuisine LIMIT 3),
+t3 AS (SELECT count(DISTINCT venue_id) AS n FROM home_pairs WHERE cuisine IN (SELECT cuisine FROM top))
+SELECT (SELECT count(*) FROM fact) AS rows, (SELECT count(DISTINCT country) FROM fact) AS countries,
+  (SELECT count(DISTINCT city) FROM fact) AS cities_global, restaurants AS rows_home, 50 AS min_votes_for_leaderboard,
+  restaurants, k.cities, localities, {shown("avg_cost", 0, "avg_cost")},
+  {shown("median_cost", 0, "median_cost")}, {shown("p90_cost", 0, "p90_cost")},
+  {shown("max_cost", 0, "max_cost")}, {shown("avg_rating", 2, "avg_rating")}, rated_n,
+  {shown("not_rated_pct", 1, "not_rated_pct")}, {shown("delivery_pct", 1, "delivery_pct")},
+  {shown("booking_pct", 1, "booking_pct")}, total_votes, {shown("avg_votes", 0, "avg_votes")}, cuisines,
+  {shown("avg_cuisines", 2, "avg_cuisines")}, credible_n, top_name, {shown("top_rating", 2, "top_rating")},
+  priciest_name, {shown("cost_skew", 2, "cost_skew")}, {shown("naive_rating", 2, "naive_rating")},
+  round_even(round_even(avg_rating, 2) - round_even(naive_rating, 2), 2) AS bias_avoided,
+  {shown("pc", 3, "pearson_cost")}, {shown("rho", 3, "spearman")}, {shown("pv", 3, "pearson_votes")},
+  s.n AS n_for_correlation, {shown("m1 - m0", 2, "rating_gap")},
+  {shown("(m1 - m0) / sqrt(v1 / n1 + v0 / n0)", 2, "welch_t")}, n1 AS n_yes, n0 AS n_no,
+  {shown("metro", 1, "metro_pct")}, {shown("single", 1, "single_cuisine_pct")},
+  (SELECT string_agg(cuisine, ', ' ORDER BY cuisine) FROM top) AS top3_cuisines,
+  {shown("100.0::DOUBLE * t3.n / restaurants", 1, "top3_share_pct")}
+FROM k, x, s, r, arms, t3""")
+    out["kpi_document_shortlist"] = opportunity(
+        """
+SELECT CAST(place - 1 AS INTEGER) AS place, city, locality, restaurants, round_even(avg_rating, 2) AS avg_rating,
+  round_even(avg_cost, 0) AS avg_cost, round_even(votes_per_venue, 0) AS votes_per_venue,
+  round_even(score, 2) AS score FROM ranked WHERE place <= 12 AND score IS NOT NULL""",
+        keep_unrated=True,
+    )
+    out["growing_charts"] = opportunity(
+        """
+SELECT locality, city, restaurants, round_even(avg_rating, 2) AS avg_rating,
+  round_even(votes_per_venue, 0) AS votes_per_venue, round_even(score, 2) AS score FROM ranked""",
+        keep_unrated=True,
+    )
     return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from venuelens.config import COUNTRY_NAMES, CleaningRules
 from venuelens.operators import cleaning, dimensions
@@ -20,7 +21,10 @@ def prepare(
 ) -> DataFrame:
     """Trimmed, one row per venue, with its country."""
     if countries is None:
-        countries = dimensions.code_table(raw.sparkSession, COUNTRY_NAMES, "country_code", "country")
+        # Fifteen literal rows.
+        countries = F.broadcast(
+            dimensions.code_table(raw.sparkSession, COUNTRY_NAMES, "country_code", "country")
+        )
     tidy = cleaning.trim_text(cleaning.normalise_names(raw))
     return cleaning.attach_country(
         cleaning.keep_first(tidy, "venue_id", order), countries, rules.unknown_country

@@ -18,7 +18,7 @@ from venuelens.config import FilterSpec
 from venuelens.operators import checks, cleaning, dimensions, filters, measures, opportunity, ranking
 from venuelens.plans import pipeline
 from venuelens.sources import driver_tables as tables
-from venuelens.sources import packed, star
+from venuelens.sources import document, packed, star
 from venuelens.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -483,7 +483,7 @@ def shortlist(spark, sf_dir):
 
 @register
 def opportunity_bands(spark, sf_dir):
-    every = opportunity.locality_totals(home(spark, sf_dir), 1)
+    every = opportunity.locality_totals(home(spark, sf_dir), 1).persist()
     return opportunity.bands(every, FLOORS.locality)
 
 
@@ -507,13 +507,13 @@ def shortlist_cost(spark, sf_dir):
 # -- reconciliation --------------------------------------------------------------
 @register
 def reconcile(spark, sf_dir):
-    """The KPI strip against the same figures from the tables' own columns."""
+    """The KPI strip, which goes through area totals, against direct counts of the fact."""
     shared = [
         "restaurants", "rated_n", "not_rated_pct", "credible_n", "delivery_pct", "booking_pct",
         "total_votes",
     ]
-    actual = measures.kpis(home(spark, sf_dir)).select(*shared, "top_name")
-    rows = filters.in_country(raw_star(spark, sf_dir).fact, tables.SCOPE.home_country)
+    rows = home(spark, sf_dir)
+    actual = measures.kpis(rows).select(*shared, "top_name")
     best = ranking.top_rated(rows, 1).select("venue_name").scalar()
     expected = measures.rates(rows).select(*shared, best.alias("top_name"))
     tolerance = dict.fromkeys(("not_rated_pct", "delivery_pct", "booking_pct"), 1e-9)
@@ -531,6 +531,40 @@ def filter_invariants(spark, sf_dir):
     return checks.filter_invariants(home(spark, sf_dir), CITY, IMPOSSIBLE)
 
 
+# -- export ------------------------------------------------------------------------
+def _document(spark, sf_dir):
+    return document.kpi_document(
+        fact(spark, sf_dir), tables.RULES, tables.TREND_BANDS, max_point_cost=MAX_POINT_COST
+    )
+
+
+@register
+def kpi_document(spark, sf_dir):
+    """The whole document, as the JSON text that is written."""
+    return document.as_json(_document(spark, sf_dir))
+
+
+@register
+def kpi_document_figures(spark, sf_dir):
+    """The rounded figures of the document, read back from its JSON text."""
+    nested = _document(spark, sf_dir)
+    text = document.as_json(nested)
+    parsed = text.select(F.from_json("value", nested.schema).alias("d"))
+    return parsed.select("d.meta.*", "d.kpi.*", "d.stats.*")
+
+
+@register
+def kpi_document_shortlist(spark, sf_dir):
+    """The opportunity table of the document, one row per entry."""
+    nested = _document(spark, sf_dir)
+    return nested.select(F.posexplode("tables.opportunity").alias("place", "entry")).select("place", "entry.*")
+
+
+@register
+def growing_charts(spark, sf_dir):
+    return document.growing_charts(fact(spark, sf_dir), tables.RULES)["opportunity_quadrant"]
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City benchmark under the default support floor."""
     return rounded(measures.city_benchmark(fact(spark, sf_dir)))
