@@ -18,8 +18,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import SparkSession  # noqa: E402
-
+from venuelens import session  # noqa: E402
 from venuelens.plans import registry  # noqa: E402
 
 HEADLINE = [
@@ -37,8 +36,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("venuelens-bench")
+        session.builder("venuelens-bench")
+        .master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

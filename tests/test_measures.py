@@ -130,6 +130,14 @@ def test_encode_both_ways(spark):
         assert sorted((r.w or "", r.c) for r in got) == [("", -1), ("b", 1), ("z", -1)]
 
 
+def test_encode_list_both_ways(spark):
+    codes = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "w string, code int")
+    df = spark.createDataFrame([(1, ["c", "a"]), (2, []), (3, ["z", "b"])], "id int, ws array<string>")
+    for limit in (10, 1):
+        got = dimensions.encode_list(df, "id", "ws", codes, "cs", inline_entries=limit).collect()
+        assert {r.id: r.cs for r in got} == {1: [0, 2], 2: [], 3: [-1, 1]}
+
+
 # -- statistics -------------------------------------------------------------
 def test_skewness(fact, frame, spark):
     assert fact.agg(S.adjusted_skewness(F.col("cost"))).first()[0] == pytest.approx(frame["cost"].skew())

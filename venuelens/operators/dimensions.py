@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from venuelens.operators.joins import BROADCAST_ROWS, broadcast_if_small
+
 
 def literal_frame(spark: SparkSession, schema: T.StructType, rows: Sequence[Sequence]) -> DataFrame:
     """A few fixed rows as a relation of literals, with no data sent from the driver."""
@@ -73,14 +75,35 @@ def dictionary_codes(values: DataFrame, column: str) -> DataFrame:
 
 
 def encode(
-    df: DataFrame, column: str, codes: DataFrame, output: str, broadcast_rows: int = 1_000_000
+    df: DataFrame, column: str, codes: DataFrame, output: str, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Replace a value by its code; a value without one gets -1.
+    """Replace a value by its code; a value without one gets -1."""
+    renamed = codes.select(F.col(column), F.col("code").alias(output))
+    small = broadcast_if_small(renamed, broadcast_rows)
+    return df.join(small, column, "left").withColumn(output, F.coalesce(output, F.lit(-1)))
 
-    The dictionary is counted first: up to ``broadcast_rows`` entries it is sent to
-    the rows, which then stay where they are. A larger one is joined by shuffle.
+
+def encode_list(
+    df: DataFrame, key: str, items: str, codes: DataFrame, output: str, inline_entries: int = 1_000
+) -> DataFrame:
+    """Replace an array of values by the sorted array of their codes.
+
+    A dictionary of up to ``inline_entries`` goes to the rows as one map and nothing
+    is shuffled. A larger one is joined item by item and the lists are put together
+    again by key; a list is as long as the row's own array, so it is safe to collect.
     """
-    renamed = codes.select(F.col(column), F.col("code").alias(output))
-    if codes.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        renamed = F.broadcast(renamed)
-    return df.join(renamed, column, "left").withColumn(output, F.coalesce(output, F.lit(-1)))
+    value = codes.columns[0]
+    if codes.count() <= inline_entries:
+        pairs = F.collect_list(F.struct(value, "code"))
+        known = codes.agg(F.map_from_entries(pairs).alias("codes")).scalar()
+        coded = df.withColumn("_codes", known)
+        one = F.transform(items, lambda item: F.coalesce(F.try_element_at("_codes", item), F.lit(-1)))
+        return coded.withColumn(output, F.sort_array(one)).drop("_codes")
+    exploded = df.select(key, F.explode(items).alias(value))
+    lists = (
+        encode(exploded, value, codes, "_code")
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list("_code")).alias(output))
+    )
+    empty = F.array().cast("array<int>")
+    return df.join(lists, key, "left").withColumn(output, F.coalesce(output, empty))

@@ -17,7 +17,7 @@ from venuelens.config import RATING_BANDS, TREND_BANDS, Bands, Floors
 from venuelens.functions import columns as C
 from venuelens.functions import statistics as S
 from venuelens.operators.dimensions import literal_frame
-from venuelens.operators.filters import currency_mean, restrict_bridge
+from venuelens.operators.filters import currency_mean
 from venuelens.operators.ordering import average_ranks, quantiles
 
 def venue_count() -> Column:
@@ -345,9 +345,12 @@ def exploded(fact: DataFrame) -> DataFrame:
 
 
 def bridge_with_fact(bridge: DataFrame, fact: DataFrame) -> DataFrame:
-    """A separate bridge, restricted to the venues of the fact, with their measures."""
-    wanted = fact.select("venue_id", "rating", "cost", "votes", "has_delivery")
-    return restrict_bridge(bridge, fact).join(wanted, "venue_id", "left")
+    """A separate bridge, restricted to the venues of the fact, with their measures.
+
+    Keeping the pairs of known venues and then looking the venue up is one inner join,
+    because a venue is in the fact once.
+    """
+    return bridge.join(fact.select("venue_id", "rating", "cost", "votes", "has_delivery"), "venue_id")
 
 
 def per_cuisine(pairs: DataFrame) -> DataFrame:

@@ -26,9 +26,22 @@ SCOPE = Scope(home_country="ASIA", home_currency="ASIA", metro_cities=("NATION_2
 FLOORS = Floors(votes=50, city=620, cuisine=450, locality=120)
 RULES = CleaningRules(scope=SCOPE, floors=FLOORS, price_labels=PRICE_LABELS, cost_bands=COST_BANDS)
 
+# The columns read, with their types, so that nothing is inferred.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_brand string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_quantity double, l_discount double, "
+    "l_returnflag string",
+    "events": "event_id long, user_id long, event_type string, value double",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:

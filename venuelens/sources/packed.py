@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuelens.operators.dimensions import dictionary_codes, encode
+from venuelens.operators.dimensions import dictionary_codes, encode, encode_list
 from venuelens.sources.shared import shared_folder
 
 
@@ -26,14 +26,9 @@ def packed_rows(fact: DataFrame) -> Packed:
     cities = dictionary_codes(fact, "city")
     localities = dictionary_codes(fact, "locality")
     cuisines = dictionary_codes(pairs, "cuisine")
-    # A venue's list is as long as its own array, so it is safe to collect.
-    lists = (
-        encode(pairs, "cuisine", cuisines, "cuisine_code")
-        .groupBy("venue_id")
-        .agg(F.sort_array(F.collect_list("cuisine_code")).alias("cuisine_codes"))
-    )
     coded = encode(encode(fact, "city", cities, "city_code"), "locality", localities, "locality_code")
-    rows = coded.join(lists, "venue_id", "left").select(
+    listed = encode_list(coded, "venue_id", "cuisine_list", cuisines, "cuisine_codes")
+    rows = listed.select(
         F.col("venue_name").alias("name"),
         "city_code",
         "locality_code",
@@ -44,7 +39,7 @@ def packed_rows(fact: DataFrame) -> Packed:
         "price_range",
         F.coalesce(F.col("has_delivery").cast("int"), F.lit(0)).alias("delivery"),
         F.coalesce(F.col("has_booking").cast("int"), F.lit(0)).alias("booking"),
-        F.coalesce("cuisine_codes", F.array().cast("array<int>")).alias("cuisine_codes"),
+        "cuisine_codes",
     )
     return Packed(rows, cities, localities, cuisines)
 
