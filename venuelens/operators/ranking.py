@@ -47,18 +47,18 @@ def name_ranks(fact: DataFrame, digits: int = 9) -> DataFrame:
         fact.where(F.col("venue_name").isNotNull())
         .groupBy("venue_name")
         .agg(
-            F.round(F.avg("cost"), digits).alias("avg_cost"),
-            F.round(F.avg("rating"), digits).alias("avg_rating"),
+            F.round(F.avg("cost"), digits).alias("mean_cost"),
+            F.round(F.avg("rating"), digits).alias("mean_rating"),
             F.count_if("credible").alias("credible_n"),
         )
     )
-    by_cost = dense_ranks(names, "avg_cost").withColumnRenamed("rank", "cost_rank")
-    by_rating = dense_ranks(names, "avg_rating").withColumnRenamed("rank", "any_rating_rank")
+    by_cost = dense_ranks(names, "mean_cost").withColumnRenamed("rank", "cost_rank")
+    by_rating = dense_ranks(names, "mean_rating").withColumnRenamed("rank", "any_rating_rank")
     rating_rank = F.when(F.col("credible_n") > 0, F.col("any_rating_rank"))
     return (
-        names.join(by_cost, "avg_cost", "left")
-        .join(by_rating, "avg_rating", "left")
-        .select("venue_name", "avg_cost", "avg_rating", "cost_rank", rating_rank.alias("rating_rank"))
+        names.join(by_cost, "mean_cost", "left")
+        .join(by_rating, "mean_rating", "left")
+        .select("venue_name", "mean_cost", "mean_rating", "cost_rank", rating_rank.alias("rating_rank"))
     )
 
 

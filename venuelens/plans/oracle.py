@@ -425,7 +425,7 @@ ORDER BY home.rating / (home.cost / 100) DESC, venue_id LIMIT 15""")
     out["dense_ranks"] = on_fact("""
 , names AS (SELECT venue_name, round(avg(cost), 9) AS avg_cost, round(avg(rating), 9) AS avg_rating,
             count(*) FILTER (credible) AS c FROM home GROUP BY venue_name)
-SELECT venue_name, round(avg_cost, 4) AS avg_cost, round(avg_rating, 6) AS avg_rating,
+SELECT venue_name, round(avg_cost, 6) AS mean_cost, avg_rating AS mean_rating,
   CASE WHEN names.avg_cost IS NOT NULL THEN dense_rank() OVER (ORDER BY names.avg_cost DESC NULLS LAST) END
     AS cost_rank,
   CASE WHEN c > 0 THEN dense_rank() OVER (ORDER BY names.avg_rating DESC NULLS LAST) END AS rating_rank

@@ -72,14 +72,17 @@ def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.read_table(spark, built_star(spark, sf_dir), "bridge")
 
 
-MONEY = {"cost", "avg_cost", "median_cost", "p90_cost", "max_cost", "shortlist_avg_cost"}
+# Decimal places compared. Sums of doubles differ in the last bits with the order of
+# the rows, and more so the larger they are. Means of a few ratings are often exact
+# in seven or eight places, so those per name keep more.
+MONEY = ("cost", "avg_cost", "median_cost", "p90_cost", "max_cost", "shortlist_avg_cost")
+PLACES = {**dict.fromkeys(MONEY, 4), "mean_rating": 9}
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to 6 places, money to 4: sums of doubles differ in the last bits with
-    the order of the rows."""
+    """Doubles to the places that are compared, 6 unless said otherwise."""
     changed = {
-        f.name: F.round(F.col(f.name), 4 if f.name in MONEY else 6)
+        f.name: F.round(F.col(f.name), PLACES.get(f.name, 6))
         for f in df.schema.fields
         if isinstance(f.dataType, T.DoubleType)
     }
