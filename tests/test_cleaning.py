@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from venuelens.config import CleaningRules
 from venuelens.operators import cleaning
-from venuelens.plans.pipeline import build_star
+from venuelens.plans.pipeline import build, clean
 from venuelens.schemas import FACT, RAW_HEADER
 from venuelens.sources.raw import HeaderError, read_raw
-from venuelens.sources.star import load_model, read_star, write_aggregates, write_star, aggregates
+from venuelens.sources.star import aggregates, load_model, write_aggregates
 
 RUPEES = "Indian Rupees(Rs.)"
 DEFAULT = {
@@ -74,8 +74,13 @@ def raw(spark, tmp_path_factory):
 
 
 @pytest.fixture(scope="module")
-def star(raw):
-    return build_star(raw)
+def cleaned(raw):
+    return clean(raw)
+
+
+@pytest.fixture(scope="module")
+def star(cleaned):
+    return cleaned.star()
 
 
 @pytest.fixture(scope="module")
@@ -184,10 +189,19 @@ def test_keep_first_with_a_hot_key(spark):
     assert len(kept) == 20_001 and kept[-1] == -9_999
 
 
-def test_star_on_disk(spark, star, tmp_path):
+def test_counted_dedupe_with_a_hot_key(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") < 10_000, -1).otherwise(F.col("id")).alias("key"), (-F.col("id")).alias("order")
+    )
+    kept = {row.key: row for row in cleaning.keep_first_counted(df, "key", ["order"], "n").collect()}
+    assert len(kept) == 20_001 and (kept[-1].order, kept[-1].n) == (-9_999, 10_000)
+    assert kept[10_000].n == 1
+
+
+def test_star_on_disk(spark, raw, star, tmp_path):
     path = str(tmp_path / "star")
-    write_star(star, path)
-    back = read_star(spark, path)
+    back = build(raw, path)
+    assert sorted(back.quality_log.collect()) == sorted(star.quality_log.collect())
     assert sorted(map(str, back.fact.collect())) == sorted(map(str, star.fact.collect()))
     assert sorted(back.bridge.collect()) == sorted(star.bridge.collect())
     assert back.dim_price_range.count() == 4

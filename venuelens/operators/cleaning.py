@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from venuelens.config import CleaningRules
 from venuelens.functions import columns as C
-from venuelens.schemas import FACT, FLAG_COLUMNS
+from venuelens.functions.statistics import total
+from venuelens.schemas import AUDITED, FLAG_COLUMNS
 
 
 def normalise_names(df: DataFrame) -> DataFrame:
@@ -43,6 +44,19 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Co
     return df.withColumn("_position", F.row_number().over(first)).where("_position = 1").drop("_position")
 
 
+def keep_first_counted(df: DataFrame, key: str, order: Sequence[str], copies: str) -> DataFrame:
+    """``keep_first`` by ascending columns, with the number of rows each key had.
+
+    One aggregate: its partial result per task is one row and a count for every key,
+    however often the key occurs.
+    """
+    row = F.struct(*[F.col(name) for name in df.columns])
+    grouped = df.groupBy(F.col(key).alias("_key")).agg(
+        F.min_by(row, F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias(copies)
+    )
+    return grouped.select("_first.*", copies)
+
+
 def attach_country(df: DataFrame, countries: DataFrame, unknown: str) -> DataFrame:
     """Add ``country`` from (country_code, country); codes without a name get ``unknown``."""
     named = df.drop("country").join(countries.select("country_code", "country"), "country_code", "left")
@@ -117,14 +131,26 @@ def derive(df: DataFrame, rules: CleaningRules) -> DataFrame:
     )
 
 
-def as_fact(df: DataFrame) -> DataFrame:
-    """The fact columns, in their order and types."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT.fields])
+def audit(df: DataFrame) -> DataFrame:
+    """Remember, per row, what the next rules erase; the quality log counts it."""
+    return df.withColumns(
+        {
+            "rating_was_zero": F.coalesce(F.col("rating") == 0, F.lit(False)),
+            "cost_was_void": F.coalesce(F.col("cost") <= 0, F.lit(False)),
+        }
+    )
+
+
+def as_table(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a schema, in its order and types."""
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def clean_rows(df: DataFrame, rules: CleaningRules) -> DataFrame:
-    """Every row-level rule, on trimmed, de-duplicated rows that have their country."""
-    return as_fact(derive(parse_cuisines(null_sentinels(cast_flags(df), rules), rules), rules))
+    """Every row-level rule, on trimmed, de-duplicated rows that have their country:
+    the fact columns followed by the audit columns."""
+    typed = audit(cast_flags(df))
+    return as_table(derive(parse_cuisines(null_sentinels(typed, rules), rules), rules), AUDITED)
 
 
 def bridge(fact: DataFrame) -> DataFrame:
@@ -136,32 +162,21 @@ def bridge(fact: DataFrame) -> DataFrame:
     return fact.select("venue_id", F.explode("cuisine_list").alias("cuisine"))
 
 
-def quality_log(raw: DataFrame, kept: DataFrame, rules: CleaningRules) -> DataFrame:
-    """What cleaning changed, one row per step, from one aggregate over the kept rows.
-
-    ``raw`` is the input before de-duplication and is only counted; ``kept`` is
-    trimmed, de-duplicated and has its country, before sentinels are replaced.
-    """
-    items = C.tokens(F.coalesce("cuisines", F.lit(rules.unspecified_cuisine)))
-    # The switch is constant when the typed flag, not the text, never varies.
-    flags = [name for name in rules.constant_candidates if name in kept.columns]
-    constant = {
-        name: F.coalesce(F.min(C.yes_no(F.col(name))) == F.max(C.yes_no(F.col(name))), F.lit(True))
-        for name in flags
-    }
-    columns = len(raw.columns)
-    counts = kept.agg(
+def quality_log(audited: DataFrame, rules: CleaningRules, raw_columns: int) -> DataFrame:
+    """What cleaning changed, one row per step, from one aggregate over the audited rows."""
+    flags = [name for name in rules.constant_candidates if name in audited.columns]
+    constant = {name: F.coalesce(F.min(name) == F.max(name), F.lit(True)) for name in flags}
+    counts = audited.agg(
+        total(F.col("copies")).alias("loaded"),
         F.count(F.lit(1)).alias("kept"),
         F.count_if(F.col("country") == rules.unknown_country).alias("unmapped"),
-        F.count_if(F.col("rating") == 0).alias("unrated"),
-        F.count_if(F.col("cost") <= 0).alias("no_cost"),
-        F.count_if(
-            F.coalesce("cuisines", F.lit(rules.unspecified_cuisine)) == rules.unspecified_cuisine
-        ).alias("no_cuisine"),
-        F.coalesce(F.sum(F.size(F.array_distinct(items))), F.lit(0)).alias("pairs"),
-        F.count_if(~C.geo_valid(F.col("latitude"), F.col("longitude"))).alias("bad_geo"),
+        F.count_if("rating_was_zero").alias("unrated"),
+        F.count_if("cost_was_void").alias("no_cost"),
+        F.count_if(F.col("cuisines") == rules.unspecified_cuisine).alias("no_cuisine"),
+        total(F.size("cuisine_list")).alias("pairs"),
+        F.count_if(~F.col("geo_valid")).alias("bad_geo"),
         *[check.alias(f"constant_{name}") for name, check in constant.items()],
-    ).withColumn("loaded", raw.agg(F.count(F.lit(1)).alias("n")).scalar())
+    )
 
     def step(name, rows, detail, when=F.lit(True)):
         return F.struct(
@@ -172,7 +187,7 @@ def quality_log(raw: DataFrame, kept: DataFrame, rules: CleaningRules) -> DataFr
         )
 
     steps = [
-        step("load", F.col("loaded"), f"rows read, {columns} columns"),
+        step("load", F.col("loaded"), f"rows read, {raw_columns} columns"),
         step("dedupe", F.col("loaded") - F.col("kept"), "repeated venue ids dropped"),
         step(
             "country_map",

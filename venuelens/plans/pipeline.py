@@ -4,46 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venuelens.config import COUNTRY_NAMES, CleaningRules
 from venuelens.operators import cleaning, dimensions
 from venuelens.sources.raw import SOURCE_ORDER
-from venuelens.sources.star import Star
+from venuelens.sources.star import Cleaned, Star, read_star, write_star
 
 
 def prepare(
     raw: DataFrame,
     rules: CleaningRules,
     countries: DataFrame | None = None,
-    order: Sequence[str | Column] = SOURCE_ORDER,
+    order: Sequence[str] = SOURCE_ORDER,
 ) -> DataFrame:
-    """Trimmed, one row per venue, with its country."""
+    """Trimmed, one row per venue, with its country and the number of its copies."""
     if countries is None:
         # Fifteen literal rows.
         countries = F.broadcast(
             dimensions.code_table(raw.sparkSession, COUNTRY_NAMES, "country_code", "country")
         )
     tidy = cleaning.trim_text(cleaning.normalise_names(raw))
-    return cleaning.attach_country(
-        cleaning.keep_first(tidy, "venue_id", order), countries, rules.unknown_country
-    )
+    kept = cleaning.keep_first_counted(tidy, "venue_id", order, "copies")
+    return cleaning.attach_country(kept, countries, rules.unknown_country)
 
 
-def build_star(
+def clean(
     raw: DataFrame,
     rules: CleaningRules = CleaningRules(),
     countries: DataFrame | None = None,
-    order: Sequence[str | Column] = SOURCE_ORDER,
-) -> Star:
-    """The star schema, lazily: nothing runs until it is written or read."""
-    kept = prepare(raw, rules, countries, order)
-    fact = cleaning.clean_rows(kept, rules)
-    return Star(
-        fact=fact,
-        bridge=cleaning.bridge(fact),
-        dim_country=dimensions.dim_country(fact),
-        dim_price_range=dimensions.dim_price_range(raw.sparkSession, rules.price_labels),
-        quality_log=cleaning.quality_log(raw, kept, rules),
-    )
+    order: Sequence[str] = SOURCE_ORDER,
+) -> Cleaned:
+    """The cleaned rows with their audit columns, lazily. ``order`` says which copy of a
+    venue is the first."""
+    width = len([name for name in raw.columns if name not in SOURCE_ORDER])
+    return Cleaned(cleaning.clean_rows(prepare(raw, rules, countries, order), rules), rules, width)
+
+
+def build(raw: DataFrame, path: str, **options) -> Star:
+    """Clean, write the star and read it back."""
+    write_star(clean(raw, **options), path)
+    return read_star(raw.sparkSession, path)

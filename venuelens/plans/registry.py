@@ -46,13 +46,14 @@ def built_star(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
         path = f"{shared_folder(spark)}/venuelens-star-{uuid.uuid4().hex}"
-        star.write_star(raw_star(spark, sf_dir), path)
+        star.write_star(cleaned(spark, sf_dir), path)
         _built[key] = path
     return _built[key]
 
 
-def raw_star(spark: SparkSession, sf_dir: str) -> star.Star:
-    return pipeline.build_star(
+def cleaned(spark: SparkSession, sf_dir: str) -> star.Cleaned:
+    """The cleaning pipeline over the tables, not yet run."""
+    return pipeline.clean(
         tables.raw_venues(spark, sf_dir),
         tables.RULES,
         tables.countries(spark, sf_dir),
@@ -100,7 +101,7 @@ def register(query: Query) -> Query:
 # -- cleaning ----------------------------------------------------------------
 @register
 def clean_fact(spark, sf_dir):
-    return raw_star(spark, sf_dir).fact.drop("cuisine_list")
+    return cleaned(spark, sf_dir).star().fact.drop("cuisine_list")
 
 
 @register
@@ -129,7 +130,7 @@ def country_map(spark, sf_dir):
 
 @register
 def quality_log(spark, sf_dir):
-    return raw_star(spark, sf_dir).quality_log
+    return cleaned(spark, sf_dir).star().quality_log
 
 
 @register

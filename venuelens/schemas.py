@@ -70,6 +70,17 @@ FACT = T.StructType(
     ]
 )
 
+# The fact as it is written: behind its columns, what cleaning has to account for.
+AUDITED = T.StructType(
+    [
+        *FACT.fields,
+        T.StructField("copies", T.LongType()),
+        T.StructField("rating_was_zero", T.BooleanType()),
+        T.StructField("cost_was_void", T.BooleanType()),
+        T.StructField("switch_to_order_menu", T.BooleanType()),
+    ]
+)
+
 BRIDGE = T.StructType(
     [T.StructField("venue_id", T.LongType()), T.StructField("cuisine", T.StringType())]
 )

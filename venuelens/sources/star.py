@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from venuelens.config import Floors, Scope
-from venuelens.operators import filters, measures, opportunity
-from venuelens.schemas import BRIDGE, DIM_COUNTRY, DIM_PRICE_RANGE, FACT, QUALITY_LOG
+from venuelens.config import CleaningRules, Floors, Scope
+from venuelens.operators import cleaning, dimensions, filters, measures, opportunity
+from venuelens.schemas import AUDITED, BRIDGE, DIM_COUNTRY, DIM_PRICE_RANGE, FACT, QUALITY_LOG
 
 TABLES = {
     "fact": FACT,
@@ -28,13 +28,37 @@ class Star:
     quality_log: DataFrame
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
+@dataclass(frozen=True)
+class Cleaned:
+    """Cleaned rows with their audit columns: all five tables follow from them."""
+
+    audited: DataFrame
+    rules: CleaningRules
+    raw_columns: int
+
+    def star(self) -> Star:
+        fact = self.audited.select(*FACT.names)
+        return Star(
+            fact=fact,
+            bridge=cleaning.bridge(fact),
+            dim_country=dimensions.dim_country(fact),
+            dim_price_range=dimensions.dim_price_range(fact.sparkSession, self.rules.price_labels),
+            quality_log=cleaning.quality_log(self.audited, self.rules, self.raw_columns),
+        )
+
+
+def write_fact(audited: DataFrame, path: str) -> None:
     """The fact, laid out by country so that a country scope prunes directories.
 
     Rebalancing by country gathers the rows of a small country into few files and
     splits a country that holds most of the rows over many tasks.
     """
-    fact.hint("rebalance", "country").write.mode("overwrite").partitionBy("country").parquet(f"{path}/fact")
+    balanced = audited.hint("rebalance", "country")
+    balanced.write.mode("overwrite").partitionBy("country").parquet(f"{path}/fact")
+
+
+def read_audited(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(AUDITED).parquet(f"{path}/fact").select(*AUDITED.names)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -47,18 +71,14 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{path}/{table}")
 
 
-def write_star(star: Star, path: str) -> None:
-    """All five tables. The fact is written first and the bridge, the dimension and
-    any later reader start from the written table, so cleaning runs once."""
-    from venuelens.operators import cleaning, dimensions
-
-    spark = star.fact.sparkSession
-    write_fact(star.fact, path)
-    fact = read_fact(spark, path)
-    cleaning.bridge(fact).write.mode("overwrite").parquet(f"{path}/bridge")
-    dimensions.dim_country(fact).write.mode("overwrite").parquet(f"{path}/dim_country")
-    star.dim_price_range.write.mode("overwrite").parquet(f"{path}/dim_price_range")
-    star.quality_log.write.mode("overwrite").parquet(f"{path}/quality_log")
+def write_star(cleaned: Cleaned, path: str) -> None:
+    """All five tables. The raw rows are read and cleaned once: the fact is written
+    first, and the other tables, the quality log included, start from what was written."""
+    write_fact(cleaned.audited, path)
+    written = replace(cleaned, audited=read_audited(cleaned.audited.sparkSession, path)).star()
+    for name in TABLES:
+        if name != "fact":
+            getattr(written, name).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
