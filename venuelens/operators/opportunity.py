@@ -37,39 +37,42 @@ def score(localities: DataFrame, keep_unrated: bool = False) -> DataFrame:
     three localities nothing is scored.
     """
     rows = localities if keep_unrated else localities.where(F.col("avg_rating").isNotNull())
-    rows = rows.withColumn("log_demand", F.log1p("votes_per_venue"))
-    baseline = rows.agg(
-        F.avg("log_demand").alias("demand_mean"),
-        F.stddev_pop("log_demand").alias("demand_sd"),
+    return _against(rows, rows)
+
+
+def _against(rows: DataFrame, comparable: DataFrame) -> DataFrame:
+    """Score ``rows`` against the baseline of the comparable localities.
+
+    The baseline reads every measure of the table, so it and the scored rows share one
+    aggregation of the venues: the exchange behind it is reused.
+    """
+    log_demand = F.log1p("votes_per_venue")
+    baseline = comparable.agg(
+        F.avg(log_demand).alias("demand_mean"),
+        F.stddev_pop(log_demand).alias("demand_sd"),
         F.avg("avg_rating").alias("quality_mean"),
         F.stddev_pop("avg_rating").alias("quality_sd"),
+        F.avg("avg_cost").alias("cost_mean"),
         F.count(F.lit(1)).alias("n"),
     )
 
-    rows = rows.withColumn("_base", only_row(baseline))
-
-    def z(value: str, name: str) -> Column:
+    def z(value: Column, name: str) -> Column:
         sd = F.col(f"_base.{name}_sd")
-        return (F.col(value) - F.col(f"_base.{name}_mean")) / F.when(sd > 0, sd).otherwise(1.0)
+        return (value - F.col(f"_base.{name}_mean")) / F.when(sd > 0, sd).otherwise(1.0)
 
     enough = F.col("_base.n") >= 3
-    scored = rows.withColumns(
+    scored = rows.withColumn("_base", only_row(baseline)).withColumns(
         {
-            "demand_z": F.when(enough, z("log_demand", "demand")),
-            "quality_z": F.when(enough, z("avg_rating", "quality")),
+            "demand_z": F.when(enough, z(log_demand, "demand")),
+            "quality_z": F.when(enough, z(F.col("avg_rating"), "quality")),
         }
     )
-    return scored.withColumn("score", F.col("demand_z") - F.col("quality_z")).drop("log_demand", "_base")
+    return scored.withColumn("score", F.col("demand_z") - F.col("quality_z")).drop("_base")
 
 
 def opportunity(fact: DataFrame, floor: int = Floors().locality, keep_unrated: bool = False) -> DataFrame:
-    """Scored localities of the rows in context.
-
-    The locality table is read twice, for the baseline and for the scores, and the
-    shortlist, the lines and the bands read it again; it is cached so that the venues
-    are scanned once. It has one row per locality and is recomputed if it is lost.
-    """
-    return score(locality_totals(fact, floor).persist(), keep_unrated)
+    """Scored localities of the rows in context."""
+    return score(locality_totals(fact, floor), keep_unrated)
 
 
 def ranked_order() -> list[Column]:
@@ -88,22 +91,21 @@ def shortlist(scored: DataFrame, n: int = 12, numbered: int = 5) -> DataFrame:
 def bands(
     localities: DataFrame, floor: int, shortlist_from: float = 0.9, watch_from: float = 0.0
 ) -> DataFrame:
-    """Every locality with its verdict; those under the floor are listed as unscored.
-
-    ``localities`` is ``locality_totals`` with a floor of 1.
+    """Every locality with its score and verdict; those under the floor are unscored and
+    not part of the baseline. ``localities`` is ``locality_totals`` with a floor of 1.
     """
-    scored = score(localities.where(F.col("restaurants") >= floor))
+    comparable = (F.col("restaurants") >= floor) & F.col("avg_rating").isNotNull()
+    scored = _against(localities, localities.where(comparable))
     verdict = (
         F.when(F.col("score").isNull(), "Not scored")
         .when(F.col("score") >= shortlist_from, "Shortlist")
         .when(F.col("score") >= watch_from, "Watch")
         .otherwise("Saturated or already strong")
     )
-    scores = scored.select("city", "locality", "score")
     return (
-        localities.join(scores, ["city", "locality"], "left")
+        scored.drop("demand_z", "quality_z")
+        .withColumn("score", F.when(comparable, F.col("score")))
         .withColumn("band", verdict)
-        .select("city", "locality", "restaurants", "score", "band")
     )
 
 

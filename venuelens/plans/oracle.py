@@ -447,7 +447,8 @@ SELECT CASE WHEN place <= 5 THEN CAST(place AS INTEGER) END AS rank, {SCORES}
 FROM ranked WHERE score IS NOT NULL AND place <= 12""")
     out["opportunity_bands"] = opportunity(f"""
 , {localities(floor=1, name="every")}
-SELECT e.city, e.locality, e.restaurants, round(score, 6) AS score,
+SELECT e.city, e.locality, e.restaurants, round(e.avg_rating, 6) AS avg_rating, round(e.avg_cost, 4) AS avg_cost,
+  e.total_votes, round(e.votes_per_venue, 6) AS votes_per_venue, round(score, 6) AS score,
   CASE WHEN score IS NULL THEN 'Not scored' WHEN score >= 0.9 THEN 'Shortlist' WHEN score >= 0 THEN 'Watch'
        ELSE 'Saturated or already strong' END AS band
 FROM every e LEFT JOIN ranked r ON e.city = r.city AND e.locality = r.locality""")
