@@ -189,6 +189,23 @@ def test_keep_first_with_a_hot_key(spark):
     assert len(kept) == 20_001 and kept[-1] == -9_999
 
 
+def test_source_order_over_file_splits(spark, tmp_path):
+    records = [
+        {**DEFAULT, "Restaurant ID": i % 700, "Restaurant Name": f"row {i}"} for i in range(3_000)
+    ]
+    for part in range(2):
+        write(tmp_path / f"part-{part}.csv", records[part * 1_500 : (part + 1) * 1_500])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        split = read_raw(spark, str(tmp_path), multi_line=False)
+        assert split.select("_block").distinct().count() > 5
+        names = {r.venue_id: r.venue_name for r in clean(split).star().fact.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert names == {i: f"row {i}" for i in range(700)}
+
+
 def test_counted_dedupe_with_a_hot_key(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") < 10_000, -1).otherwise(F.col("id")).alias("key"), (-F.col("id")).alias("order")

@@ -15,7 +15,6 @@ from venuelens.functions import columns as C
 from venuelens.functions import statistics as S
 from venuelens.operators import checks, dimensions, filters, measures, opportunity, ordering, ranking
 from venuelens.schemas import FACT
-from venuelens.sources.shared import shared_folder
 
 slow = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -115,7 +114,6 @@ def test_ranks_match_pandas(spark, numbers):
 
 
 def test_dictionary_codes(spark):
-    shared_folder(spark)
     words = [f"w{random.Random(i).randrange(500)}" for i in range(2_000)] + [None]
     df = spark.createDataFrame([(w,) for w in words], "w string").repartition(7)
     got = {r.w: r.code for r in dimensions.dictionary_codes(df, "w").collect()}

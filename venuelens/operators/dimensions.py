@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from venuelens.operators.joins import BROADCAST_ROWS, broadcast_if_small
+from venuelens.sources.shared import shared_folder
 
 
 def literal_frame(spark: SparkSession, schema: T.StructType, rows: Sequence[Sequence]) -> DataFrame:
@@ -56,6 +57,7 @@ def dictionary_codes(values: DataFrame, column: str) -> DataFrame:
     checkpointed: the range boundaries come from a sample, and a recomputed
     partition must not move rows between the two readings.
     """
+    shared_folder(values.sparkSession)
     ordered = values.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
     placed = ordered.select(
         column,

@@ -67,6 +67,29 @@ def restrict_bridge(bridge: DataFrame, fact: DataFrame) -> DataFrame:
     return bridge.join(fact.select("venue_id"), "venue_id", "left_semi")
 
 
+def through_dimensions(
+    fact: DataFrame,
+    bridge: DataFrame,
+    *,
+    countries: DataFrame | None = None,
+    cities: DataFrame | None = None,
+    tiers: DataFrame | None = None,
+    cuisines: DataFrame | None = None,
+) -> DataFrame:
+    """Carry selections on dimension tables to the fact, along the star's relations.
+
+    Country, city and tier filter the fact by their key. A cuisine selection goes up
+    the bridge, so it keeps a venue once however many of its cuisines are selected.
+    """
+    kept = fact
+    for dimension, key in ((countries, "country_code"), (cities, "city"), (tiers, "price_range")):
+        if dimension is not None:
+            kept = kept.join(dimension, key, "left_semi")
+    if cuisines is not None:
+        kept = kept.join(bridge.join(cuisines, "cuisine", "left_semi"), "venue_id", "left_semi")
+    return kept
+
+
 def currency_mean(column: str, currency: str) -> Column:
     """Mean over one currency, on top of whatever filter the frame already has."""
     return F.avg(F.when(F.col("currency") == currency, F.col(column)))

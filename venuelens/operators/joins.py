@@ -17,3 +17,19 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """
     kept = df.persist()
     return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
+
+
+def star_join(
+    fact: DataFrame, bridge: DataFrame, countries: DataFrame, tiers: DataFrame
+) -> DataFrame:
+    """Fact at venue-cuisine grain with the names its dimensions give it.
+
+    The bridge and the fact meet on the venue id, of which the fact has one row each;
+    the dimensions are small files that Spark broadcasts by their size.
+    """
+    coded = fact.drop("country", "price_label")
+    return (
+        bridge.join(coded, "venue_id")
+        .join(countries.select("country_code", "country"), "country_code", "left")
+        .join(tiers.select("price_range", "price_label"), "price_range", "left")
+    )

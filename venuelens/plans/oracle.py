@@ -273,6 +273,11 @@ FROM fact GROUP BY cost_band""")
     for name, condition in conditions.items():
         out[name] = on_fact(f"SELECT {PLACE} FROM home h WHERE {condition}")
     out["filter_all"] = on_fact(f"SELECT {PLACE} FROM combined")
+    out["star_filter"] = on_fact("""
+SELECT country, city, count(*) AS restaurants, CAST(sum(votes) AS BIGINT) AS total_votes FROM fact
+WHERE country IN ('ASIA', 'EUROPE') AND city <> 'NATION_2' AND price_label LIKE '%H%'
+  AND venue_id IN (SELECT venue_id FROM pairs WHERE cuisine IN ('Brand#3', 'Brand#11'))
+GROUP BY country, city""")
     out["currency_scope"] = on_fact("""
 SELECT country, count(*) AS restaurants,
        round(avg(CASE WHEN currency = 'ASIA' THEN cost END), 4) AS avg_cost FROM fact GROUP BY country""")

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from venuelens.config import FilterSpec
-from venuelens.operators import checks, cleaning, dimensions, filters, measures, opportunity, ranking
+from venuelens.operators import (
+    checks, cleaning, dimensions, filters, joins, measures, opportunity, ranking,
+)
 from venuelens.plans import pipeline
 from venuelens.sources import driver_tables as tables
 from venuelens.sources import document, packed, star
@@ -177,7 +179,6 @@ def dim_city(spark, sf_dir):
 @register
 def dict_codes(spark, sf_dir):
     venues, pairs = fact(spark, sf_dir), bridge(spark, sf_dir)
-    shared_folder(spark)
     parts = []
     for source, column in ((venues, "venue_name"), (venues, "city"), (pairs, "cuisine")):
         codes = dimensions.dictionary_codes(source, column)
@@ -229,6 +230,25 @@ def filter_tag_semi_join(spark, sf_dir):
     return kept.select("venue_id", "city", "locality", "price_range", "rating", "votes")
 
 
+@register
+def star_filter(spark, sf_dir):
+    """Selections on the four dimension tables, carried to the fact and the bridge."""
+    path = built_star(spark, sf_dir)
+    pairs = bridge(spark, sf_dir)
+    dims = {name: star.read_table(spark, path, name) for name in ("dim_country", "dim_price_range")}
+    kept = filters.through_dimensions(
+        fact(spark, sf_dir),
+        pairs,
+        countries=dims["dim_country"].where(F.col("country").isin("ASIA", "EUROPE")),
+        cities=dimensions.dim_city(fact(spark, sf_dir)).where(F.col("city") != CITY),
+        tiers=dims["dim_price_range"].where(F.col("price_label").contains("H")),
+        cuisines=dimensions.dim_cuisine(pairs).where(F.col("cuisine").isin(*CUISINES)),
+    )
+    return kept.groupBy("country", "city").agg(
+        measures.venue_count().alias("restaurants"), F.sum("votes").alias("total_votes")
+    )
+
+
 @register
 def currency_scope(spark, sf_dir):
     return measures.currency_page(fact(spark, sf_dir), tables.SCOPE.home_currency)
@@ -386,16 +406,11 @@ def metric_selector(spark, sf_dir):
 
 @register
 def star_join(spark, sf_dir):
-    """Bridge, fact and all dimensions: venues and votes per country, tier and cuisine."""
-    venues = fact(spark, sf_dir).select("venue_id", "country_code", "price_range", "votes")
-    names = star.read_table(spark, built_star(spark, sf_dir), "dim_country")
-    tiers = star.read_table(spark, built_star(spark, sf_dir), "dim_price_range")
-    rows = (
-        bridge(spark, sf_dir)
-        .join(venues, "venue_id")
-        .join(names.select("country_code", "country"), "country_code", "left")
-        .join(tiers, "price_range", "left")
-    )
+    """Venues and votes per country, tier and cuisine."""
+    path = built_star(spark, sf_dir)
+    countries = star.read_table(spark, path, "dim_country")
+    tiers = star.read_table(spark, path, "dim_price_range")
+    rows = joins.star_join(fact(spark, sf_dir), bridge(spark, sf_dir), countries, tiers)
     return rows.groupBy("country", "price_label", "cuisine").agg(
         measures.venue_count().alias("restaurants"), F.sum("votes").alias("total_votes")
     )

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venuelens.operators.dimensions import dictionary_codes, encode, encode_list
-from venuelens.sources.shared import shared_folder
 
 
 @dataclass(frozen=True)
@@ -21,7 +20,6 @@ class Packed:
 
 def packed_rows(fact: DataFrame) -> Packed:
     """Ten fields per venue, with the three dictionaries they refer to."""
-    shared_folder(fact.sparkSession)
     pairs = fact.select("venue_id", F.explode("cuisine_list").alias("cuisine"))
     cities = dictionary_codes(fact, "city")
     localities = dictionary_codes(fact, "locality")
