@@ -1,12 +1,14 @@
 """Each cleaning rule on hand-made raw rows, read from a latin-1 file."""
 
 import csv
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from venuelens.config import CleaningRules
 from venuelens.operators import cleaning
+from venuelens.plans.batch import run
 from venuelens.plans.pipeline import build, clean
 from venuelens.schemas import FACT, RAW_HEADER
 from venuelens.sources.raw import HeaderError, read_raw
@@ -233,3 +235,20 @@ def test_star_on_disk(spark, raw, star, tmp_path):
     city = spark.read.parquet(str(tmp_path / "agg" / "agg_city_benchmark"))
     assert [(r.city, r.restaurants) for r in city.collect()] == [("New Delhi", len(CHANGES) - 4)]
     assert spark.read.option("header", True).csv(str(tmp_path / "agg" / "agg_cuisine_csv")).count() >= 2
+
+
+def test_batch_run(spark, tmp_path):
+    path = tmp_path / "extract.csv"
+    write(path, rows())
+    out = str(tmp_path / "out")
+    model = run(spark, str(path), out)
+    assert model.fact.count() == len(CHANGES) - 1
+    text = spark.read.text(f"{out}/document/kpis").first().value
+    figures = json.loads(text)
+    home = len(CHANGES) - 3
+    assert figures["meta"]["rows_home"] == figures["kpi"]["restaurants"] == home
+    assert figures["tables"]["opportunity"] == []
+    assert spark.read.parquet(f"{out}/aggregates/agg_price_range").count() == 1
+    assert spark.read.json(f"{out}/packed/rows").count() == home
+    overview = spark.read.json(f"{out}/document/charts/country_overview")
+    assert {r.country: r.restaurants for r in overview.collect()}["India"] == home

@@ -25,11 +25,13 @@ def star_join(
     """Fact at venue-cuisine grain with the names its dimensions give it.
 
     The bridge and the fact meet on the venue id, of which the fact has one row each;
-    the dimensions are small files that Spark broadcasts by their size.
+    the dimensions are small files that Spark broadcasts by their size. A code with
+    several currencies is in the country table once for each, and is one name here.
     """
     coded = fact.drop("country", "price_label")
+    names = countries.select("country_code", "country").distinct()
     return (
         bridge.join(coded, "venue_id")
-        .join(countries.select("country_code", "country"), "country_code", "left")
+        .join(names, "country_code", "left")
         .join(tiers.select("price_range", "price_label"), "price_range", "left")
     )

@@ -51,9 +51,11 @@ def write_fact(audited: DataFrame, path: str) -> None:
     """The fact, laid out by country so that a country scope prunes directories.
 
     Rebalancing by country gathers the rows of a small country into few files and
-    splits a country that holds most of the rows over many tasks.
+    splits a country that holds most of the rows over many tasks. Inside a file rows lie
+    by city and locality, so that filters on them skip Parquet pages; the write sorts by
+    country in any case.
     """
-    balanced = audited.hint("rebalance", "country")
+    balanced = audited.hint("rebalance", "country").sortWithinPartitions("country", "city", "locality")
     balanced.write.mode("overwrite").partitionBy("country").parquet(f"{path}/fact")
 
 
