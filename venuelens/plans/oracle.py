@@ -546,6 +546,45 @@ SELECT CAST(place - 1 AS INTEGER) AS place, city, locality, restaurants, round_e
   round_even(score, 2) AS score FROM ranked WHERE place <= 12 AND score IS NOT NULL""",
         keep_unrated=True,
     )
+    histogram = banded("rating", RATING_EDGES, RATING_LABELS, position=True).replace(
+        "WHEN rating IS NOT NULL", "WHEN false"
+    )
+    trend = banded("cost", TREND_EDGES, TREND_LABELS, position=True)
+    numbered = "CAST(row_number() OVER (ORDER BY {0}) - 1 AS INTEGER) AS place".format
+    out["kpi_document_charts"] = on_fact(f"""
+, h AS (SELECT {histogram} AS position, count(*) AS n FROM home WHERE is_rated GROUP BY 1),
+c AS (SELECT {trend} AS position, avg(rating) AS r, count(*) AS n FROM home WHERE {CREDIBLE} GROUP BY 1),
+t AS ({CUISINE_TABLE.format(source="home")}),
+v AS (SELECT * FROM t ORDER BY restaurants DESC, cuisine LIMIT 15),
+q AS (SELECT * FROM t WHERE restaurants >= 450 ORDER BY round(avg_rating, 9) DESC, cuisine LIMIT 12),
+n AS (SELECT city, count(*) AS restaurants FROM home GROUP BY city ORDER BY 2 DESC, 1 LIMIT 15),
+p AS (SELECT price_range, price_label, count(*) AS restaurants, avg(rating) AS r FROM home GROUP BY ALL)
+SELECT 'rating_distribution' AS chart, CAST(l.position - 1 AS INTEGER) AS place, band AS label,
+       coalesce(n, 0) AS restaurants, CAST(NULL AS DOUBLE) AS avg_rating
+FROM (VALUES {values(RATING_LABELS)}) l(position, band) LEFT JOIN h USING (position)
+UNION ALL SELECT 'cost_band_rating_trend', CAST(l.position - 1 AS INTEGER), band, coalesce(n, 0), round_even(r, 2)
+FROM (VALUES {values(TREND_LABELS)}) l(position, band) LEFT JOIN c USING (position)
+UNION ALL SELECT 'price_range_mix', {numbered("price_range")}, price_label, restaurants, round_even(r, 2) FROM p
+UNION ALL SELECT 'city_all', {numbered("restaurants DESC, city")}, city, restaurants, NULL FROM n
+UNION ALL SELECT 'cuisine_by_volume', {numbered("restaurants DESC, cuisine")}, cuisine, restaurants,
+                 round_even(avg_rating, 2) FROM v
+UNION ALL SELECT 'cuisine_by_rating', {numbered("round(avg_rating, 9) DESC, cuisine")}, cuisine, restaurants,
+                 round_even(avg_rating, 2) FROM q""")
+    orders = {
+        "top_rated": ("credible", "rating DESC, votes DESC, venue_id"),
+        "most_expensive": ("cost IS NOT NULL", "cost DESC, venue_id"),
+        "best_value": ("credible AND rating >= 4.0 AND cost > 0", "rating / (cost / 100) DESC, venue_id"),
+        "most_voted": ("true", "votes DESC, venue_id"),
+    }
+    out["kpi_document_boards"] = on_fact(
+        " UNION ALL ".join(
+            f"""
+SELECT '{board}' AS board, {numbered(order)}, venue_name, city, locality, cuisines,
+       round_even(cost, 2) AS cost, round_even(rating, 2) AS rating, votes
+FROM home WHERE {condition} QUALIFY row_number() OVER (ORDER BY {order}) <= 15"""
+            for board, (condition, order) in orders.items()
+        )
+    )
     out["growing_charts"] = opportunity(
         """
 SELECT locality, city, restaurants, round_even(avg_rating, 2) AS avg_rating,

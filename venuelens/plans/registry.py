@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -579,6 +580,41 @@ def kpi_document_shortlist(spark, sf_dir):
     return nested.select(F.posexplode("tables.opportunity").alias("place", "entry")).select("place", "entry.*")
 
 
+@register
+def kpi_document_charts(spark, sf_dir):
+    """Label, size and mean rating of the banded and ranked charts, in document order."""
+    nested = _document(spark, sf_dir)
+    labels = {
+        "rating_distribution": "band", "cost_band_rating_trend": "band", "price_range_mix": "price_label",
+        "city_all": "city", "cuisine_by_volume": "cuisine", "cuisine_by_rating": "cuisine",
+    }
+    unrated = ("rating_distribution", "city_all")
+    parts = [
+        nested.select(F.posexplode(f"charts.{chart}").alias("place", "entry")).select(
+            F.lit(chart).alias("chart"),
+            "place",
+            F.col(f"entry.{label}").alias("label"),
+            "entry.restaurants",
+            (F.lit(None).cast("double") if chart in unrated else F.col("entry.avg_rating")).alias("avg_rating"),
+        )
+        for chart, label in labels.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register
+def kpi_document_boards(spark, sf_dir):
+    """The four leaderboards of the document, in document order."""
+    nested = _document(spark, sf_dir)
+    parts = [
+        nested.select(F.posexplode(f"tables.{board}").alias("place", "entry")).select(
+            F.lit(board).alias("board"), "place", "entry.*"
+        )
+        for board in ("top_rated", "most_expensive", "best_value", "most_voted")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register
 def growing_charts(spark, sf_dir):
     return document.growing_charts(fact(spark, sf_dir), tables.RULES)["opportunity_quadrant"]
