@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +21,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuelens.llm.tables import written
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORD = re.compile(r"[^\W_]+")
@@ -31,10 +33,11 @@ HASH_BITS = 22
 @dataclass(frozen=True)
 class Settings:
     """``sample`` bounds the labelled rows learned from. A term is learned if its log-likelihood
-    ratio between the classes is at least ``evidence``."""
+    ratio between the classes is at least ``evidence``, and of these the ``terms`` with most."""
 
-    sample: int = 8_000
+    sample: int = 10_000
     evidence: float = 12.0
+    terms: int = 20_000
     factors: int = 4
     epochs: int = 30
     batch: int = 128
@@ -77,24 +80,6 @@ def _margins(bias, weights, factors, columns, starts):
     return bias + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
 
 
-def _telling(flat: np.ndarray, label: np.ndarray, labels: np.ndarray, evidence: float) -> np.ndarray:
-    """Terms whose counts in the two classes differ beyond chance, by the log-likelihood ratio."""
-    seen, at = np.unique(flat, return_inverse=True)
-    toxic = np.bincount(at, label, len(seen))
-    both = np.bincount(at, minlength=len(seen)).astype(float)
-    n, positive = float(len(labels)), float(labels.sum())
-    ratio = np.zeros(len(seen))
-    for count, rows, columns in (
-        (toxic, positive, both),
-        (both - toxic, n - positive, both),
-        (positive - toxic, positive, n - both),
-        (n - positive - both + toxic, n - positive, n - both),
-    ):
-        expected = rows * columns / n
-        ratio += 2 * count * np.log(np.maximum(count, 1e-300) / np.maximum(expected, 1e-300))
-    return seen[ratio >= evidence]
-
-
 def fit(rows: list[np.ndarray], labels: np.ndarray, settings: Settings = Settings()) -> Model:
     """Learn from hashed term sets and 0/1 labels by adaptive stochastic gradient steps.
 
@@ -107,15 +92,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, settings: Settings = Setting
     if n == 0 or labels.min() == labels.max():
         return Model(prior, *empty)
     lengths = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows)
-    known = _telling(flat, np.repeat(labels, lengths), labels, settings.evidence)
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    known, columns = np.unique(np.concatenate(rows), return_inverse=True)
     if not len(known):
         return Model(prior, *empty)
-    at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-    hit = known[at] == flat
-    owner = np.repeat(np.arange(n), lengths)[hit]
-    columns = at[hit]
-    starts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
 
     random = np.random.default_rng(settings.seed)
     bias, bias_sum = prior, 1e-8
@@ -167,8 +147,8 @@ def _cut(margins: np.ndarray, labels: np.ndarray) -> float:
     return float((z[low] + z[low + 1]) / 2)
 
 
-def predict(model: Model, rows: list[set[int]]) -> np.ndarray:
-    """Scores of term sets, from 0 to 1."""
+def predict(model: Model, rows: Iterable[set[int]]) -> np.ndarray:
+    """Scores of term sets, from 0 to 1; the sets are taken one at a time."""
     place = {t: i for i, t in enumerate(model.terms.tolist())}
     found = [[place[t] for t in sorted(r) if t in place] for r in rows]
     starts = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
@@ -183,7 +163,8 @@ def train(
     """Learn from at most ``settings.sample`` labelled rows, chosen by a hash of their id.
 
     ``labelled`` has (doc_id, label); an id labelled more than once counts as toxic if any
-    row says so, and null labels or ids are left out. Only hashed terms reach the driver.
+    row says so, and null labels or ids are left out. Terms are counted by class on Spark, and
+    only those that tell the classes apart reach the driver.
     """
     chosen = (
         labelled.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
@@ -199,16 +180,38 @@ def train(
             yield pd.Series([np.fromiter(terms(x), np.int32) for x in texts], dtype=object)
 
     # ``chosen`` has at most ``sample`` short rows.
-    rows = (
-        docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-        .join(F.broadcast(chosen), "id")
-        .select("id", "y", hashed("text").alias("terms"))
-        .orderBy("id", F.hash("terms"))
-        .limit(settings.sample)
-        .toPandas()
+    seen = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    # A text that is repeated with its id is learned from once.
+    seen = seen.select("id", "y", F.array_sort(hashed("text")).alias("terms")).distinct()
+    seen = written(seen.withColumn("row", F.struct("id", F.xxhash64("terms"))), "labelled")
+    n, positive = seen.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    each = seen.select("row", "y", F.explode("terms").alias("term"))
+    counts = each.groupBy("term").agg(F.sum("y").cast("double").alias("toxic"), F.count("*").cast("double").alias("all"))
+    told = (
+        counts.withColumn("ratio", _ratio(F.col("toxic"), F.col("all"), float(positive), float(n)))
+        .where(F.col("ratio") >= settings.evidence)
+        .orderBy(F.desc("ratio"), "term")
+        .limit(settings.terms)
     )
-    found = [np.asarray(x, np.int64) for x in rows["terms"]]
-    return fit([np.sort(x) for x in found], rows["y"].to_numpy(float), settings)
+    # ``told`` has at most ``terms`` numbers.
+    of_row = each.join(F.broadcast(told.select("term")), "term").groupBy("row").agg(F.collect_list("term").alias("found"))
+    rows = seen.select("row", "y").join(of_row, "row", "left").orderBy("row").limit(settings.sample).collect()
+    found = [np.sort(np.asarray(r.found or [], np.int64)) for r in rows]
+    return fit(found, np.array([r.y for r in rows], float), settings)
+
+
+def _ratio(toxic: Column, all_: Column, positive: float, n: float) -> Column:
+    """Log-likelihood ratio of a term's counts in the two classes, if they did not differ."""
+    total = F.lit(0.0)
+    for count, rows, columns in (
+        (toxic, positive, all_),
+        (all_ - toxic, n - positive, all_),
+        (F.lit(positive) - toxic, positive, n - all_),
+        (F.lit(n - positive) - all_ + toxic, n - positive, n - all_),
+    ):
+        expected = F.lit(rows) * columns / F.lit(max(n, 1.0))
+        total = total + F.when(count > 0, 2 * count * F.ln(count / expected)).otherwise(0.0)
+    return total
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
@@ -218,7 +221,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(predict(shared.value, [terms(x) for x in texts]), dtype="float64")
+            yield pd.Series(predict(shared.value, map(terms, texts)), dtype="float64")
 
     return scored(F.col(text))
 
