@@ -120,20 +120,22 @@ def test_dictionary_codes(spark):
     assert got == {w: i for i, w in enumerate(sorted({w for w in words if w}))}
 
 
-def test_encode_both_ways(spark):
-    codes = spark.createDataFrame([("a", 0), ("b", 1)], "w string, code int")
-    df = spark.createDataFrame([("b",), ("z",), (None,)], "w string")
-    for limit in (10, 1):
-        got = dimensions.encode(df, "w", codes, "c", broadcast_rows=limit).collect()
-        assert sorted((r.w or "", r.c) for r in got) == [("", -1), ("b", 1), ("z", -1)]
-
-
-def test_encode_list_both_ways(spark):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_encode_by_both_joins(spark, threshold):
+    """A broadcast and a shuffle join give the same codes."""
     codes = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "w string, code int")
-    df = spark.createDataFrame([(1, ["c", "a"]), (2, []), (3, ["z", "b"])], "id int, ws array<string>")
-    for limit in (10, 1):
-        got = dimensions.encode_list(df, "id", "ws", codes, "cs", inline_entries=limit).collect()
-        assert {r.id: r.cs for r in got} == {1: [0, 2], 2: [], 3: [-1, 1]}
+    df = spark.createDataFrame([("b",), ("z",), (None,)], "w string")
+    lists = [(1, ["c", "a"]), (2, []), (3, ["z", "b"]), (4, None), (5, [None, "a"])]
+    listed = spark.createDataFrame(lists, "id int, ws array<string>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = dimensions.encode(df, "w", codes, "c").collect()
+        coded = dimensions.encode_list(listed, "id", "ws", codes, "cs").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r.w or "", r.c) for r in got) == [("", -1), ("b", 1), ("z", -1)]
+    assert {r.id: r.cs for r in coded} == {1: [0, 2], 2: [], 3: [-1, 1], 4: [], 5: [-1, 0]}
 
 
 # -- statistics -------------------------------------------------------------

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuelens.operators.joins import BROADCAST_ROWS, broadcast_if_small
 from venuelens.sources.shared import shared_folder
 
 
@@ -76,31 +75,21 @@ def dictionary_codes(values: DataFrame, column: str) -> DataFrame:
     return placed.join(F.broadcast(starts), "_part").select(column, code.cast("int").alias("code"))
 
 
-def encode(
-    df: DataFrame, column: str, codes: DataFrame, output: str, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Replace a value by its code; a value without one gets -1."""
+def encode(df: DataFrame, column: str, codes: DataFrame, output: str) -> DataFrame:
+    """Replace a value by its code; a value without one gets -1. Spark broadcasts the
+    dictionary if it is small enough."""
     renamed = codes.select(F.col(column), F.col("code").alias(output))
-    small = broadcast_if_small(renamed, broadcast_rows)
-    return df.join(small, column, "left").withColumn(output, F.coalesce(output, F.lit(-1)))
+    return df.join(renamed, column, "left").withColumn(output, F.coalesce(output, F.lit(-1)))
 
 
-def encode_list(
-    df: DataFrame, key: str, items: str, codes: DataFrame, output: str, inline_entries: int = 1_000
-) -> DataFrame:
+def encode_list(df: DataFrame, key: str, items: str, codes: DataFrame, output: str) -> DataFrame:
     """Replace an array of values by the sorted array of their codes.
 
-    A dictionary of up to ``inline_entries`` goes to the rows as one map and nothing
-    is shuffled. A larger one is joined item by item and the lists are put together
-    again by key; a list is as long as the row's own array, so it is safe to collect.
+    Items are joined to the dictionary one by one, and the lists are put together again
+    by key, which is unique; a list is as long as the row's own array, so it is safe to
+    collect. Unknown and null items become -1; a null list is an empty one.
     """
     value = codes.columns[0]
-    if codes.count() <= inline_entries:
-        pairs = F.collect_list(F.struct(value, "code"))
-        known = codes.agg(F.map_from_entries(pairs).alias("codes")).scalar()
-        coded = df.withColumn("_codes", known)
-        one = F.transform(items, lambda item: F.coalesce(F.try_element_at("_codes", item), F.lit(-1)))
-        return coded.withColumn(output, F.sort_array(one)).drop("_codes")
     exploded = df.select(key, F.explode(items).alias(value))
     lists = (
         encode(exploded, value, codes, "_code")

@@ -1,24 +1,10 @@
-"""Joins whose strategy follows a measured size."""
+"""Joins along the star. Spark chooses their strategy by the sizes it knows or finds."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a few short columns: some tens of megabytes.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a side for broadcast when it has at most ``rows`` rows.
-
-    The rows are counted, and kept cached for the join that follows. A larger side is
-    left to a shuffle join, where adaptive execution splits hot keys.
-    """
-    kept = df.persist()
-    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
-
-
 def star_join(
     fact: DataFrame, bridge: DataFrame, countries: DataFrame, tiers: DataFrame
 ) -> DataFrame:

@@ -225,10 +225,16 @@ def _per_band(df: DataFrame, value: Column, bands: Bands, measures: Sequence[Col
     )
 
 
+def _open_ended(bands: Bands) -> Bands:
+    """The bands with the first open below and the last open above."""
+    return Bands(edges=[float("-inf"), *bands.edges[1:-1], None], labels=bands.labels)
+
+
 def rating_histogram(fact: DataFrame, bands: Bands = RATING_BANDS) -> DataFrame:
+    """Rated venues per half-star band, in the bands of ``rating_band``: all are counted."""
     rated = fact.where("is_rated")
     return (
-        _per_band(rated, F.col("rating"), bands, [venue_count().alias("restaurants")])
+        _per_band(rated, F.col("rating"), _open_ended(bands), [venue_count().alias("restaurants")])
         .orderBy("position")
         .select("position", "band", "restaurants")
     )
@@ -237,9 +243,7 @@ def rating_histogram(fact: DataFrame, bands: Bands = RATING_BANDS) -> DataFrame:
 def rating_band(fact: DataFrame, not_rated: str, bands: Bands = RATING_BANDS) -> DataFrame:
     """Each venue's half-star band, with the unrated named. Ratings under the first
     edge belong to the first band and ratings over the last to the last."""
-    edges = [float("-inf"), *bands.edges[1:-1], None]
-    open_ended = Bands(edges=edges, labels=bands.labels)
-    label = F.coalesce(C.band(F.col("rating"), open_ended), F.lit(not_rated))
+    label = F.coalesce(C.band(F.col("rating"), _open_ended(bands)), F.lit(not_rated))
     return fact.select("venue_id", "rating", label.alias("rating_band"))
 
 
@@ -477,14 +481,14 @@ def skew_flag(fact: DataFrame, axis: str, threshold: float = 0.2) -> DataFrame:
 
 def metric_by(fact: DataFrame, axis: str, metric: str) -> DataFrame:
     """One measure chosen by name, per group."""
-    table = fact.groupBy(axis).agg(
-        venue_count().cast("double").alias("restaurants"),
-        F.avg("rating").alias("avg_rating"),
-        F.avg("cost").alias("avg_cost"),
-        F.sum("votes").cast("double").alias("votes"),
-    )
-    long = table.unpivot([axis], ["restaurants", "avg_rating", "avg_cost", "votes"], "metric", "value")
-    return long.where(F.col("metric") == metric)
+    measures = {
+        "restaurants": venue_count(),
+        "avg_rating": F.avg("rating"),
+        "avg_cost": F.avg("cost"),
+        "votes": F.sum("votes"),
+    }
+    value = measures[metric].cast("double").alias("value")
+    return fact.groupBy(axis).agg(value).select(axis, F.lit(metric).alias("metric"), "value")
 
 
 def currency_page(fact: DataFrame, currency: str) -> DataFrame:

@@ -13,7 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from venuelens.operators.joins import broadcast_if_small
 
 # Buckets per factor e: about 0.4 % relative width. Doubles span 710 such factors
 # to each side of zero, so there are never more than about 364,000 buckets.
@@ -106,8 +105,8 @@ def quantiles(
         wanted = wanted | holds(F.floor(position(p))) | holds(F.ceil(position(p)))
     chosen = buckets.where(wanted).select(*keys, "_bucket", "_start", "_total")
     # Two buckets per probability and key at most: without keys that is a bound, with
-    # keys their number is checked.
-    chosen = broadcast_if_small(chosen) if keys else F.broadcast(chosen)
+    # keys the join is left to Spark.
+    chosen = chosen if keys else F.broadcast(chosen)
 
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_value")
     ranked = (

@@ -336,12 +336,12 @@ def tier_summary(spark, sf_dir):
 
 @register
 def city_benchmark(spark, sf_dir):
-    return measures.city_benchmark(fact(spark, sf_dir), FLOORS.city)
+    return measures.city_benchmark(home(spark, sf_dir), FLOORS.city)
 
 
 @register
 def top_cities(spark, sf_dir):
-    return measures.top_cities(fact(spark, sf_dir), 12)
+    return measures.top_cities(home(spark, sf_dir), 12)
 
 
 @register
@@ -392,17 +392,17 @@ def locality_totals(spark, sf_dir):
 
 @register
 def value_ratio(spark, sf_dir):
-    return measures.value_ratio(fact(spark, sf_dir), "city")
+    return measures.value_ratio(home(spark, sf_dir), "city")
 
 
 @register
 def skew_flag(spark, sf_dir):
-    return measures.skew_flag(fact(spark, sf_dir), "locality", 0.0)
+    return measures.skew_flag(home(spark, sf_dir), "locality", 0.0)
 
 
 @register
 def metric_selector(spark, sf_dir):
-    return measures.metric_by(fact(spark, sf_dir), "city", "avg_rating")
+    return measures.metric_by(home(spark, sf_dir), "city", "avg_rating")
 
 
 @register
@@ -622,4 +622,4 @@ def growing_charts(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City benchmark under the default support floor."""
-    return rounded(measures.city_benchmark(fact(spark, sf_dir)))
+    return rounded(measures.city_benchmark(home(spark, sf_dir)))
