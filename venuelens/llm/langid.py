@@ -183,7 +183,7 @@ def train(
         .limit(settings.sample)
         .toPandas()
     )
-    rows = rows[[len(x) > 0 for x in rows["ids"]]]
+    rows = rows[rows["ids"].map(len) > 0]
     found = [
         (np.asarray(a, np.int64), np.asarray(b, np.float32)) for a, b in zip(rows["ids"], rows["shares"], strict=True)
     ]

@@ -105,7 +105,7 @@ def suffix_bucket(host: Column) -> Column:
 
 
 def with_features(rows: DataFrame, url: str, host: str, path: str) -> DataFrame:
-    """``rows`` with a struct column ``x`` of the lexical features and the bucket of the suffix."""
+    """``rows`` with a struct column ``__x`` of the lexical features and the bucket of the suffix."""
     u = F.coalesce(F.col(url), F.lit(""))
     length = F.length(u)
     query = F.regexp_extract(u, r"\?([^#]*)", 1)
@@ -121,7 +121,7 @@ def with_features(rows: DataFrame, url: str, host: str, path: str) -> DataFrame:
     ]
     named = [v.cast("double").alias(n) for v, n in zip(x, FEATURES, strict=False)]
     spelled = rows.withColumn("__u", u)
-    return spelled.select(*rows.columns, F.struct(*named, suffix_bucket(F.col(host)).alias("suffix")).alias("x"))
+    return spelled.select(*rows.columns, F.struct(*named, suffix_bucket(F.col(host)).alias("suffix")).alias("__x"))
 
 
 def fit(x: np.ndarray, y: np.ndarray, settings: Settings = Settings()) -> tuple[float, list[Node]]:
@@ -176,9 +176,9 @@ def train(
     """
     rows = labelled.where(F.col(verdict).isin(ALLOW, BLOCK))
     rows = with_features(rows, url, host, path).select(
-        (F.col(verdict) == BLOCK).cast("double").alias("y"), F.col(url).alias("url"), "x"
+        (F.col(verdict) == BLOCK).cast("double").alias("y"), F.col(url).alias("url"), "__x"
     )
-    totals = rows.groupBy(F.col("x.suffix").alias("s")).agg(F.sum("y").alias("block"), F.count("*").alias("n"))
+    totals = rows.groupBy(F.col("__x.suffix").alias("s")).agg(F.sum("y").alias("block"), F.count("*").alias("n"))
     known = totals.collect()  # at most SUFFIX_BUCKETS rows
     n = sum(r.n for r in known)
     rate = (sum(r.block for r in known) + 0.5) / (n + 1.0)
@@ -187,7 +187,7 @@ def train(
     }
     unknown = (rate, 0.0)
     seen = (
-        rows.orderBy(F.xxhash64("url"), "url", "y").limit(settings.sample).select("y", "x.*").toPandas()
+        rows.orderBy(F.xxhash64("url"), "url", "y").limit(settings.sample).select("y", "__x.*").toPandas()
     )
     of_suffix = np.array([suffixes[s] for s in seen["suffix"]]).reshape(-1, 2)
     x = np.column_stack([seen[FEATURES[:-2]].to_numpy(float), of_suffix])
@@ -211,9 +211,9 @@ def scored(rows: DataFrame, model: Model, url: str, host: str, path: str, score:
     if model.suffixes:
         of = F.create_map(*[F.lit(v) for s, (a, _) in model.suffixes.items() for v in (s, a)])
         n_of = F.create_map(*[F.lit(v) for s, (_, b) in model.suffixes.items() for v in (s, b)])
-        rates = F.coalesce(of[F.col("x.suffix")], rates)
-        counts = F.coalesce(n_of[F.col("x.suffix")], counts)
-    lexical = [F.col(f"x.{n}").alias(n) for n in FEATURES[:-2]]
+        rates = F.coalesce(of[F.col("__x.suffix")], rates)
+        counts = F.coalesce(n_of[F.col("__x.suffix")], counts)
+    lexical = [F.col(f"__x.{n}").alias(n) for n in FEATURES[:-2]]
     ready = filled.select(
         F.struct(*own).alias("__row"), *lexical, rates.alias("suffix_rate"), counts.alias("suffix_rows")
     )
