@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from venuelens.llm.tables import written
+
 SHARDS = 8
 # Slots are numbered within buckets of a shard: more buckets, more tasks.
 BUCKETS = 1024
@@ -68,7 +70,8 @@ def placements(
         (text_bytes(F.col(text)) + 1).alias("size"),
         text_crc32(F.col(text)).alias("text_crc32"),
     )
-    counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    # The texts are read once, for three numbers each.
+    counted = written(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n")), "counted")
     placed = counted.select(
         "*",
         shard_of(F.col("doc_id"), weights).alias("shard"),
