@@ -28,6 +28,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hashed_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
+    """At most ``rows`` rows, those with the lowest hashes of ``key``, of the ``total`` in ``df``.
+
+    Hashes so high that they cannot be among them are left out first, so that what is ordered
+    and sent does not grow with the number of partitions.
+    """
+    place = F.xxhash64(F.col(key), F.lit(41))
+    if total > 2 * rows:
+        df = df.where(place < -(1 << 63) + int(2 * rows / total * (1 << 64)))
+    return df.orderBy(place, key).limit(rows)
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """True for the rows of one fold by crc32 of the id as text. A null id is never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(True))

@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuelens.llm.tables import hashed_sample
+
 ALLOW, BLOCK = "allow", "block"
 SUFFIX_BUCKETS = 1024
 # Labelled rows a suffix's block rate is smoothed with.
@@ -186,9 +188,7 @@ def train(
         r.s: ((r.block + SMOOTHING * rate) / (r.n + SMOOTHING), float(np.log1p(r.n))) for r in known
     }
     unknown = (rate, 0.0)
-    seen = (
-        rows.orderBy(F.xxhash64("url"), "url", "y").limit(settings.sample).select("y", "__x.*").toPandas()
-    )
+    seen = hashed_sample(rows, "url", settings.sample, n).select("y", "__x.*").toPandas()
     of_suffix = np.array([suffixes[s] for s in seen["suffix"]]).reshape(-1, 2)
     x = np.column_stack([seen[FEATURES[:-2]].to_numpy(float), of_suffix])
     prior, trees = fit(x, seen["y"].to_numpy(float), settings)

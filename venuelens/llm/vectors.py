@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuelens.llm.components import components
-from venuelens.llm.tables import written
+from venuelens.llm.tables import hashed_sample, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -149,7 +149,7 @@ def near_duplicates(
     sizes = {r["size"]: r["count"] for r in classes.groupBy("size").count().orderBy(F.desc("count")).limit(64).collect()}
     cells = {}
     for size, count in sizes.items():
-        sample = classes.where(F.col("size") == size).orderBy(F.xxhash64("rep"), "rep").limit(settings.sample)
+        sample = hashed_sample(classes.where(F.col("size") == size), "rep", settings.sample, count)
         x = unit(np.stack([np.asarray(r.v) for r in sample.select("v").collect()]))
         k = max(1, min(settings.most_cells, -(-count // settings.cell), len(x)))
         cells[size] = spherical_kmeans(x, k, settings.rounds, settings.seed)
