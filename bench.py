@@ -27,7 +27,8 @@ HEADLINE = [
     "tier_summary", "city_benchmark", "tag_summary", "tag_summary_join", "tags_by_rating",
     "cost_band_trend", "country_overview", "facets", "top3_tag_share", "star_join",
     "correlations", "spearman", "welch_t", "top_rated", "best_value", "dense_ranks",
-    "scatter_sample", "opportunity_scores", "shortlist", "invariants",
+    "scatter_sample", "opportunity_scores", "shortlist", "invariants", "star_filter", "dict_codes",
+    "kpi_document",
 ]
 RUNS = 3
 
