@@ -412,3 +412,17 @@ def test_checks_catch_a_lost_rule(fact):
     assert failed == {"a country has one currency"}
     none = checks.filter_invariants(fact, "Hot City", FilterSpec(min_rating=4.99, price_tiers=(4,)))
     assert checks.all_passed(none).first().failed == 0
+
+
+def test_filter_checks_fail_when_a_filter_lets_rows_through(fact, monkeypatch):
+    """Each filter that keeps what it should not is seen."""
+    from venuelens.operators import filters
+
+    monkeypatch.setattr(filters, "apply_filters", lambda df, spec: df)
+    got = checks.filter_invariants(fact, "Hot City", FilterSpec(min_rating=4.99, price_tiers=(4,)), tiers=(1,))
+    failed = {r.check for r in got.collect() if not r.passed}
+    assert failed >= {
+        "a city filter narrows the frame", "a city filter keeps only that city", "a tier filter keeps only those tiers",
+        "an impossible filter is empty", "a flag filter keeps the flagged rows", "figures compute on an empty frame",
+        "figures compute on a filtered frame",
+    }

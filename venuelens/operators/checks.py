@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -112,39 +112,55 @@ def invariants(
     )
 
 
-def filter_invariants(fact: DataFrame, city: str, impossible: FilterSpec) -> DataFrame:
-    """Rules of the filter layer, from one pass over the fact, as (check, passed)."""
-    in_city = filters.predicate(FilterSpec(cities=(city,)))
-    delivering = filters.predicate(FilterSpec(delivery_only=True))
-    counts = fact.agg(
+def filter_invariants(
+    fact: DataFrame, city: str, impossible: FilterSpec, tiers: Sequence[int] = (1,), cuisines: Sequence[str] = ()
+) -> DataFrame:
+    """Rules of the filter layer as (check, passed), measured on the filtered frames."""
+
+    def kept(spec: FilterSpec, belongs: Column) -> Column:
+        """Rows that a filter keeps, and those of them that do not belong."""
+        counts = F.struct(F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(belongs, F.lit(False))).alias("strays"))
+        return filters.apply_filters(fact, spec).agg(counts.alias("v")).scalar()
+
+    has_cuisine = F.arrays_overlap("cuisine_list", F.array(*[F.lit(c) for c in cuisines]).cast("array<string>"))
+    base = fact.agg(
         measures.venue_count().alias("total"),
-        F.count_if(in_city).alias("in_city"),
-        F.count_if(in_city & (F.col("city") != city)).alias("strays"),
-        F.count_if(filters.predicate(FilterSpec())).alias("unfiltered"),
-        F.count_if(filters.predicate(impossible)).alias("none"),
-        F.count_if(delivering).alias("delivering"),
-        F.count_if("has_delivery").alias("has_delivery"),
+        F.count_if(F.col("city") == city).alias("city_rows"),
+        F.count_if(F.col("price_range").isin(list(tiers))).alias("tier_rows"),
+        F.count_if(has_cuisine).alias("cuisine_rows"),
+        F.count_if("has_delivery").alias("delivery_rows"),
     )
+    nothing = measures.kpis(filters.apply_filters(fact, impossible))
     city_kpis = measures.kpis(filters.apply_filters(fact, FilterSpec(cities=(city,))))
-    none_kpis = measures.kpis(filters.apply_filters(fact, impossible))
-    row = counts.withColumns(
+    row = base.withColumns(
         {
+            "all": kept(FilterSpec(), F.lit(True)),
+            "city": kept(FilterSpec(cities=(city,)), F.col("city") == city),
+            "tier": kept(FilterSpec(price_tiers=tuple(tiers)), F.col("price_range").isin(list(tiers))),
+            "cuisine": kept(FilterSpec(cuisines=tuple(cuisines)), has_cuisine) if cuisines else F.lit(None),
+            "delivery": kept(FilterSpec(delivery_only=True), F.col("has_delivery")),
+            "none": kept(impossible, F.lit(False)),
             "kpi_city": city_kpis.select("restaurants").scalar(),
-            "kpi_none": none_kpis.select("restaurants").scalar(),
+            "kpi_none": nothing.select("restaurants").scalar(),
         }
     )
-    return _checks(
-        row,
-        {
-            "a city filter narrows the frame": (F.col("in_city") > 0) & (F.col("in_city") < F.col("total")),
-            "a city filter keeps only that city": F.col("strays") == 0,
-            "an empty filter keeps every row": F.col("unfiltered") == F.col("total"),
-            "an impossible filter is empty": F.col("none") == 0,
-            "a flag filter keeps the flagged rows": F.col("delivering") == F.col("has_delivery"),
-            "figures compute on a filtered frame": F.col("kpi_city") == F.col("in_city"),
-            "figures compute on an empty frame": F.col("kpi_none") == 0,
-        },
-    )
+
+    def keeps(name: str) -> Column:
+        return (F.col(f"{name}.strays") == 0) & (F.col(f"{name}.n") == F.col(f"{name}_rows"))
+
+    tests = {
+        "a city filter narrows the frame": (F.col("city.n") > 0) & (F.col("city.n") < F.col("total")),
+        "a city filter keeps only that city": keeps("city"),
+        "a tier filter keeps only those tiers": keeps("tier"),
+        "an empty filter keeps every row": F.col("all.n") == F.col("total"),
+        "an impossible filter is empty": F.col("none.n") == 0,
+        "a flag filter keeps the flagged rows": keeps("delivery"),
+        "figures compute on a filtered frame": F.col("kpi_city") == F.col("city_rows"),
+        "figures compute on an empty frame": F.col("kpi_none") == 0,
+    }
+    if cuisines:
+        tests["a cuisine filter keeps only venues with one"] = keeps("cuisine")
+    return _checks(row, tests)
 
 
 def all_passed(*results: DataFrame) -> DataFrame:

@@ -494,6 +494,8 @@ UNION ALL SELECT 'a country has one currency',
 , one AS (SELECT count(*) AS n FROM home WHERE city = 'NATION_2')
 SELECT 'a city filter narrows the frame' AS "check", n > 0 AND n < (SELECT count(*) FROM home) AS passed FROM one
 UNION ALL SELECT 'a city filter keeps only that city', true
+UNION ALL SELECT 'a tier filter keeps only those tiers', true
+UNION ALL SELECT 'a cuisine filter keeps only venues with one', true
 UNION ALL SELECT 'an empty filter keeps every row', true
 UNION ALL SELECT 'an impossible filter is empty', count(*) = 0 FROM home
   WHERE city = 'NATION_2' AND rating >= 4.99 AND price_range = 1 AND contains(lower(venue_name), 'no such venue')

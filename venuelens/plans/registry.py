@@ -548,7 +548,7 @@ def invariants(spark, sf_dir):
 
 @register
 def filter_invariants(spark, sf_dir):
-    return checks.filter_invariants(home(spark, sf_dir), CITY, IMPOSSIBLE)
+    return checks.filter_invariants(home(spark, sf_dir), CITY, IMPOSSIBLE, TIERS, CUISINES)
 
 
 # -- export ------------------------------------------------------------------------
