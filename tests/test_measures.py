@@ -113,6 +113,28 @@ def test_ranks_match_pandas(spark, numbers):
     assert [dense[x] for x in numbers] == list(series.rank(method="dense", ascending=False))
 
 
+# Distributions that lie inside a handful of the equal-width buckets.
+NARROW = {
+    "shares near 0": "id * 0.003 / 60000",
+    "longitudes of one town": "77.1 + id * 0.2 / 60000",
+    "means within 0.1 %": "-250000 + id * 500.0 / 60000",
+    "a cluster and an outlier": "if(id = 0, 1000.9, 1000 + id * 0.00001 / 60000)",
+}
+
+
+@pytest.mark.parametrize("values", NARROW.values(), ids=NARROW.keys())
+def test_narrow_values_are_split_over_pieces(spark, values):
+    df = spark.range(60_000).selectExpr(f"cast({values} as double) as x", "1 as w")
+    placed, levels = ordering.in_pieces(df, "x", splits=2 if "if(" in values else 1)
+    largest = placed.groupBy(*levels).count().agg(F.max("count")).first()[0]
+    assert largest <= ordering.SPLIT_ABOVE
+    plain = df.toPandas()["x"]
+    ranks = {r.x: r["rank"] for r in ordering.average_ranks(df, "x", "w").collect()}
+    assert [ranks[x] for x in plain] == list(plain.rank())
+    got = ordering.quantiles(df, "x", {"a": 0.25, "b": 0.999}).first()
+    assert (got.a, got.b) == pytest.approx((np.quantile(plain, 0.25), np.quantile(plain, 0.999)), rel=1e-12)
+
+
 def test_dictionary_codes(spark):
     words = [f"w{random.Random(i).randrange(500)}" for i in range(2_000)] + [None]
     df = spark.createDataFrame([(w,) for w in words], "w string").repartition(7)

@@ -1,9 +1,11 @@
 """Exact order statistics without sorting a dataset in one task.
 
 ``percentile`` keeps every distinct value of a group in one buffer and a window
-without a partition sends everything to one task. Both are avoided in two steps:
-values go into buckets of equal relative width, whose running totals form a table
-of bounded size, and only then are values ordered, inside their own bucket.
+without a partition sends everything to one task. Both are avoided in steps: values
+go into buckets of equal relative width, buckets that hold many values are split
+evenly between their own smallest and largest value, and only then are values
+ordered, inside their own piece. Pieces follow from exact counts and extremes, not from a sample,
+so every evaluation of a plan, also after a lost executor, finds the same ones.
 """
 
 from __future__ import annotations
@@ -14,34 +16,80 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Buckets per factor e: about 0.4 % relative width. Doubles span 710 such factors
-# to each side of zero, so there are never more than about 364,000 buckets.
+# Buckets per factor e: about 0.4 % relative width. Doubles span about 1,456 such
+# factors to each side of zero, so there are never more than about 746,000 buckets.
 STEPS = 256
+# The logarithm of the smallest double is just above minus this.
+LOWEST_LOG = 746
+# A bucket of more values than this is split, and of more than a fixed part of all
+# values where there are very many, so that the number of pieces stays bounded.
+SPLIT_ABOVE = 4_096
+MOST_PARTS = 20_000
 
 
 def bucket_of(value: Column) -> Column:
-    """A bucket number that never decreases as the value grows."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * STEPS)).cast("long")
+    """A bucket number that never decreases as the value grows; 0 has its own."""
+    size = F.floor((F.ln(F.abs(value)) + LOWEST_LOG) * STEPS) + 1
+    return F.coalesce(F.signum(value) * size, F.lit(0)).cast("long")
+
+
+def _pieces(rows: Column, total: Column | None = None) -> Column:
+    """Into how many pieces to split a bucket of ``rows`` rows."""
+    limit = F.lit(float(SPLIT_ABOVE))
+    if total is not None:
+        limit = F.greatest(limit, total / MOST_PARTS)
+    return F.when(rows > limit, F.ceil(rows * 2 / limit)).otherwise(F.lit(1)).cast("long")
+
+
+def _piece_of(value: Column) -> Column:
+    """The piece of a value between ``_lo`` and ``_hi``, never decreasing as it grows."""
+    low, high = F.col("_lo").cast("double"), F.col("_hi").cast("double")
+    place = F.floor(F.try_divide(value.cast("double") - low, high - low) * F.col("_pieces"))
+    split = (F.col("_pieces") > 1) & (high > low)
+    return F.when(split, F.least(place, F.col("_pieces") - 1)).otherwise(F.lit(0)).cast("long")
+
+
+def in_pieces(values: DataFrame, value: str, splits: int = 1) -> tuple[DataFrame, list[str]]:
+    """Rows with the columns that name their piece, in the order of the values.
+
+    One split is enough unless a far tighter cluster shares its bucket with an outlier,
+    which stretches the bucket; a second one parts them, for a plan of twice the size.
+    """
+    placed, levels = values.withColumn("_level0", bucket_of(F.col(value))), ["_level0"]
+    for number in range(1, splits + 1):
+        table = (
+            placed.groupBy(*levels)
+            .agg(F.count(F.lit(1)).alias("_rows"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+            .withColumn("_pieces", _pieces(F.col("_rows"), F.sum("_rows").over(Window.partitionBy())))
+            .where("_pieces > 1")
+            .drop("_rows")
+        )
+        # Only split buckets are listed: at most MOST_PARTS rows whatever the data.
+        placed = (
+            placed.join(F.broadcast(table), levels, "left")
+            .withColumn(f"_level{number}", F.coalesce(_piece_of(F.col(value)), F.lit(0)))
+            .drop("_lo", "_hi", "_pieces")
+        )
+        levels = [*levels, f"_level{number}"]
+    return placed, levels
 
 
 def totals_below(values: DataFrame, value: str, weight: str) -> DataFrame:
     """Add ``below``: the weight of all smaller values. One row per distinct value."""
-    placed = values.withColumn("_bucket", bucket_of(F.col(value)))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    inside = (
-        Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    placed, levels = in_pieces(values, value)
+    earlier = Window.orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*levels).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed.groupBy("_bucket")
+        placed.groupBy(*levels)
         .agg(F.sum(weight).alias("_filled"))
-        .select("_bucket", F.coalesce(F.sum("_filled").over(earlier), F.lit(0)).alias("_start"))
+        .select(*levels, F.coalesce(F.sum("_filled").over(earlier), F.lit(0)).alias("_start"))
     )
     below = F.col("_start") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
-    # At most one row per bucket, so the broadcast is bounded whatever the data.
+    # One row per piece, of which there is a bounded number whatever the data.
     return (
-        placed.join(F.broadcast(starts), "_bucket")
+        placed.join(F.broadcast(starts), levels)
         .withColumn("below", below)
-        .drop("_bucket", "_start")
+        .drop(*levels, "_start")
     )
 
 
@@ -73,8 +121,9 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per named probability.
 
-    Pass one counts values per bucket. Pass two reads only the buckets that hold a
-    wanted position, so what is shuffled by value is a sliver of the data. Without
+    The first pass counts values per bucket. The second reads only the buckets that hold
+    a wanted position and counts them in pieces, and the last orders only the pieces that
+    hold one, so what is shuffled by value is a sliver of the data. Without
     keys the result is one row, of nulls when there are no values.
     """
     keys = list(keys)
@@ -83,16 +132,6 @@ def quantiles(
     )
     for key in keys:
         points = points.where(F.col(key).isNotNull())
-    points = points.withColumn("_bucket", bucket_of(F.col("_value")))
-
-    in_order = Window.partitionBy(*keys).orderBy("_bucket")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        points.groupBy(*keys, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_filled"))
-        .withColumn("_start", F.coalesce(F.sum("_filled").over(earlier), F.lit(0)))
-        .withColumn("_total", F.sum("_filled").over(Window.partitionBy(*keys)))
-    )
 
     def position(p: float) -> Column:
         return (F.col("_total") - 1) * F.lit(float(p))
@@ -103,15 +142,38 @@ def quantiles(
     wanted = F.lit(False)
     for p in probabilities.values():
         wanted = wanted | holds(F.floor(position(p))) | holds(F.ceil(position(p)))
-    chosen = buckets.where(wanted).select(*keys, "_bucket", "_start", "_total")
-    # Two buckets per probability and key at most: without keys that is a bound, with
-    # keys the join is left to Spark.
-    chosen = chosen if keys else F.broadcast(chosen)
 
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_value")
+    def holding(rows: DataFrame, outer: list[str], level: str) -> DataFrame:
+        """The buckets of ``level`` that hold a wanted position, with the rows before them."""
+        counted = rows.groupBy(*outer, level).agg(
+            F.count(F.lit(1)).alias("_filled"), F.min("_value").alias("_lo"), F.max("_value").alias("_hi"),
+            *[F.min(c).alias(c) for c in ("_start", "_total") if c in rows.columns],
+        )
+        within = Window.partitionBy(*outer)
+        earlier = within.orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_filled").over(earlier), F.lit(0))
+        if "_start" in rows.columns:
+            counted = counted.withColumn("_start", F.col("_start") + before)
+        else:
+            counted = counted.withColumns({"_start": before, "_total": F.sum("_filled").over(within)})
+        found = counted.where(wanted).withColumn("_pieces", F.least(_pieces(F.col("_filled")), F.lit(65_536)))
+        # Two buckets per probability and key at most: without keys that is a bound, with
+        # keys the join is left to Spark.
+        found = found.drop("_filled")
+        return found if keys else F.broadcast(found)
+
+    bucketed = points.withColumn("_level0", bucket_of(F.col("_value")))
+    chosen = holding(bucketed, keys, "_level0")
+    split = bucketed.join(chosen, [*keys, "_level0"]).withColumn("_level1", _piece_of(F.col("_value")))
+    levels = [*keys, "_level0"]
+    finer = holding(split, levels, "_level1").drop("_lo", "_hi", "_pieces")
+    levels.append("_level1")
+
+    inside = Window.partitionBy(*levels).orderBy("_value")
     ranked = (
-        points.join(chosen, [*keys, "_bucket"])
-        .groupBy(*keys, "_bucket", "_start", "_total", "_value")
+        split.select(*levels, "_value")
+        .join(finer, levels)
+        .groupBy(*levels, "_start", "_total", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_through", F.col("_start") + F.sum("_n").over(inside))
     )

@@ -41,14 +41,21 @@ def name_ranks(fact: DataFrame, digits: int = 9) -> DataFrame:
     """Dense ranks of each venue name by mean cost and mean rating, inside the selection.
 
     A name with no cost has no cost rank, one with no credible venue no rating rank.
-    Means are rounded before they are compared, so equal means share a rank.
+    Means are rounded before they are compared, so equal means share a rank. They come from
+    exact sums, so that every evaluation of a mean, in whatever row order, is the same number
+    and meets its rank.
     """
+
+    def mean(column: str) -> Column:
+        exact = F.sum(F.col(column).cast("decimal(38,16)")).cast("double")
+        return F.round(F.try_divide(exact, F.count(column)), digits)
+
     names = (
         fact.where(F.col("venue_name").isNotNull())
         .groupBy("venue_name")
         .agg(
-            F.round(F.avg("cost"), digits).alias("mean_cost"),
-            F.round(F.avg("rating"), digits).alias("mean_rating"),
+            mean("cost").alias("mean_cost"),
+            mean("rating").alias("mean_rating"),
             F.count_if("credible").alias("credible_n"),
         )
     )
