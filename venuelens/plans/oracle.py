@@ -23,9 +23,9 @@ lines AS (
   FROM lineitem GROUP BY l_orderkey
 ),
 base AS (
-  SELECT o_orderkey AS venue_id, c_name AS venue_name, r_regionkey AS country_code,
-         r_name AS country, n_name AS city, c_mktsegment AS locality,
-         c_mktsegment || ', ' || n_name || ', ' || r_name AS address,
+  SELECT o_orderkey AS venue_id, c_name AS venue_name, n_regionkey AS country_code,
+         coalesce(r_name, 'Unknown') AS country, n_name AS city, c_mktsegment AS locality,
+         concat_ws(', ', c_mktsegment, n_name, r_name) AS address,
          CAST(c_custkey % 400 - 200 AS DOUBLE) AS longitude, c_acctbal / 100 AS latitude,
          coalesce(listed.cuisines, 'Unspecified') AS cuisines,
          CAST(coalesce(listed.cuisine_count, 1) AS INTEGER) AS cuisine_count,
@@ -37,8 +37,8 @@ base AS (
          CASE o_orderstatus WHEN 'P' THEN true WHEN 'F' THEN false END AS delivering_now,
          CASE WHEN any_r AND points > 0 THEN points / (2.0::DOUBLE * lines.n) END AS rating,
          CAST(coalesce(votes, 0) AS BIGINT) AS votes
-  FROM orders JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
   LEFT JOIN lines ON lines.l_orderkey = o_orderkey
   LEFT JOIN listed ON listed.l_orderkey = o_orderkey
 ),
@@ -47,7 +47,7 @@ fact AS (
          latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180
            AND NOT (latitude = 0 AND longitude = 0) AS geo_valid,
          cuisines, cuisine_count, currency, cost,
-         CASE WHEN currency <> 'ASIA' OR cost IS NULL THEN NULL
+         CASE WHEN currency IS DISTINCT FROM 'ASIA' OR cost IS NULL THEN NULL
               WHEN cost < 50000 THEN '< 50k' WHEN cost < 100000 THEN '50k-100k'
               WHEN cost < 200000 THEN '100k-200k' WHEN cost < 400000 THEN '200k-400k'
               ELSE '400k+' END AS cost_band,
@@ -171,12 +171,13 @@ def on_fact(tail: str) -> str:
     return f"WITH {FACT} {tail}"
 
 
-def quality_log() -> str:
-    unmapped = "FROM orders JOIN customer ON o_custkey = c_custkey"
+def quality_log(loaded: str = "count(*)", columns: int = 19, unnamed: str = "country = 'Unknown'") -> str:
     return on_fact(f"""
 SELECT step, CAST(rows_affected AS BIGINT) AS rows_affected, detail FROM (
-  SELECT 'load' AS step, count(*) AS rows_affected, 'rows read, 19 columns' AS detail {unmapped}
-  UNION ALL SELECT 'dedupe', count(*) - count(DISTINCT o_orderkey), 'repeated venue ids dropped' {unmapped}
+  SELECT 'load' AS step, {loaded} AS rows_affected, 'rows read, {columns} columns' AS detail FROM fact
+  UNION ALL SELECT 'dedupe', {loaded} - count(*), 'repeated venue ids dropped' FROM fact
+  UNION ALL SELECT 'country_map', count(*), 'country codes without a name, set to Unknown'
+    FROM fact WHERE {unnamed} HAVING count(*) > 0
   UNION ALL SELECT 'drop_constant', count(*), 'switch_to_order_menu never varies, dropped' FROM fact
   UNION ALL SELECT 'rating_zero_to_null', count(*) FILTER (rating IS NULL), 'rating 0 means not rated' FROM fact
   UNION ALL SELECT 'cost_zero_to_null', count(*) FILTER (cost IS NULL), 'cost of 0 or less means unknown' FROM fact
@@ -215,6 +216,15 @@ SELECT c_custkey, n_regionkey AS country_code,
        coalesce(CASE WHEN r_name <> 'EUROPE' THEN r_name END, 'Unknown') AS country
 FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
     out["quality_log"] = quality_log()
+    # Venues rated 2 or more are listed twice, region 2 has no name; the first listing is kept.
+    out["quality_log_copies"] = quality_log(
+        "count(*) + count(*) FILTER (rating >= 2)", 20, "country_code = 2 OR country = 'Unknown'"
+    )
+    out["dedupe_pipeline"] = on_fact("""
+SELECT venue_id, CASE WHEN country_code = 2 THEN 99 ELSE country_code END AS country_code,
+       CASE WHEN country_code = 2 THEN 'Unknown' ELSE country END AS country, votes,
+       round(rating, 6) AS rating, CASE WHEN rating >= 2 THEN 2 ELSE 1 END::BIGINT AS copies FROM fact""")
+    out["column_names"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
     out["drop_constant"] = on_fact("SELECT venue_id, has_delivery, delivering_now, has_booking FROM fact")
     # Pending orders deliver now, open ones do not say: neither flag is constant.
     out["bridge_pairs"] = on_fact("SELECT venue_id, cuisine FROM pairs")
@@ -441,10 +451,18 @@ ORDER BY fact.rating DESC NULLS LAST, votes DESC, venue_id LIMIT 25""")
     out["scatter_points"] = on_fact(points)
     out["scatter_sample"] = on_fact(points + " ORDER BY md5(concat(venue_id, ':42')), venue_id LIMIT 700")
 
+    # -- aggregate tables
+    out["agg_city_benchmark"] = on_fact(f"""
+SELECT city, {PLACE_MEASURES}, round(100 * avg(CAST(has_booking AS INTEGER)), 6) AS booking_pct,
+       CAST(sum(votes) AS BIGINT) AS total_votes FROM home GROUP BY city HAVING count(*) >= 620""")
+    out["agg_cuisine"] = out["tag_summary"]
+    out["agg_price_range"] = out["tier_summary"]
+
     # -- opportunity model
     out["opportunity_scores"] = opportunity(f"SELECT {SCORES} FROM ranked")
     out["opportunity_filtered"] = opportunity(f"SELECT {SCORES} FROM ranked", floor=60, where="is_rated")
     out["opportunity_keep_unrated"] = opportunity(f"SELECT {SCORES} FROM ranked", keep_unrated=True)
+    out["agg_locality_opportunity"] = out["opportunity_keep_unrated"]
     out["shortlist"] = opportunity(f"""
 SELECT CASE WHEN place <= 5 THEN CAST(place AS INTEGER) END AS rank, {SCORES}
 FROM ranked WHERE score IS NOT NULL AND place <= 12""")

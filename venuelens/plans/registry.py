@@ -60,10 +60,17 @@ def cleaned(spark: SparkSession, sf_dir: str) -> star.Cleaned:
         tables.raw_venues(spark, sf_dir),
         tables.RULES,
         tables.countries(spark, sf_dir),
-        order=["venue_name", "city"],
+        # An order is a row, so a venue has no copies here; where one had, these tell them apart.
+        order=["venue_name", "city", "locality", "cost", "votes", "cuisines"],
     )
 
 
+def cleaned_copies(spark: SparkSession, sf_dir: str) -> star.Cleaned:
+    """The cleaning pipeline over an extract with repeated venues and unnamed countries."""
+    raw = tables.repeated_venues(spark, sf_dir)
+    return pipeline.clean(raw, tables.RULES, tables.countries(spark, sf_dir), order=["listing"])
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.read_fact(spark, built_star(spark, sf_dir))
 
@@ -136,6 +143,25 @@ def quality_log(spark, sf_dir):
     return cleaned(spark, sf_dir).star().quality_log
 
 
+@register
+def dedupe_pipeline(spark, sf_dir):
+    """Copies of each venue as the pipeline keeps and counts them."""
+    kept = cleaned_copies(spark, sf_dir).audited
+    return kept.select("venue_id", "country_code", "country", "votes", "rating", "copies")
+
+
+@register
+def quality_log_copies(spark, sf_dir):
+    return cleaned_copies(spark, sf_dir).star().quality_log
+
+
+@register
+def column_names(spark, sf_dir):
+    """A table whose header is padded, under its stripped names."""
+    nation = tables.table(spark, sf_dir, "nation")
+    return cleaning.normalise_names(nation.toDF(*[f" {name}\t" for name in nation.columns]))
+
+
 @register
 def drop_constant(spark, sf_dir):
     flags = cleaning.cast_flags(tables.raw_venues(spark, sf_dir))
@@ -475,6 +501,19 @@ def scatter_sample(spark, sf_dir):
     return ranking.seeded_sample(ranking.scatter_points(home(spark, sf_dir), MAX_POINT_COST))
 
 
+# -- aggregate tables ------------------------------------------------------------
+def _aggregate(name: str) -> None:
+    def query(spark, sf_dir):
+        return star.aggregates(home(spark, sf_dir), tables.PRICE_LABELS, FLOORS)[name]
+
+    query.__name__ = name
+    register(query)
+
+
+for _name in ("agg_city_benchmark", "agg_cuisine", "agg_locality_opportunity", "agg_price_range"):
+    _aggregate(_name)
+
+
 # -- opportunity model -----------------------------------------------------------
 def _scored(spark, sf_dir, spec=FilterSpec()):
     return opportunity.opportunity(filters.apply_filters(home(spark, sf_dir), spec), FLOORS.locality)
