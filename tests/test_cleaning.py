@@ -72,7 +72,7 @@ def write(path, records, header=None):
 def raw(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("raw") / "extract.csv"
     write(path, rows())
-    return read_raw(spark, str(path))
+    return read_raw(spark, str(path), multi_line=True)
 
 
 @pytest.fixture(scope="module")
@@ -200,12 +200,23 @@ def test_source_order_over_file_splits(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        split = read_raw(spark, str(tmp_path), multi_line=False)
+        split, whole = read_raw(spark, str(tmp_path)), read_raw(spark, str(tmp_path), multi_line=True)
         assert split.select("_block").distinct().count() > 5
-        names = {r.venue_id: r.venue_name for r in clean(split).star().fact.collect()}
+        assert whole.select("_block").distinct().count() == 1
+        for raw in (split, whole):
+            names = {r.venue_id: r.venue_name for r in clean(raw).star().fact.collect()}
+            assert names == {i: f"row {i}" for i in range(700)}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert names == {i: f"row {i}" for i in range(700)}
+
+
+@pytest.mark.parametrize("column", ["Restaurant Name", "Address", "Votes"])
+def test_a_cut_record_fails_the_split_read(spark, tmp_path, column):
+    path = tmp_path / "extract.csv"
+    write(path, [{**DEFAULT, "Restaurant ID": 1}, {**DEFAULT, "Restaurant ID": 2, column: "1\n2"}])
+    assert read_raw(spark, str(path), multi_line=True).count() == 2
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_raw(spark, str(path)).select("venue_id").collect()
 
 
 def test_counted_dedupe_with_a_hot_key(spark):
@@ -241,7 +252,7 @@ def test_batch_run(spark, tmp_path):
     path = tmp_path / "extract.csv"
     write(path, rows())
     out = str(tmp_path / "out")
-    model = run(spark, str(path), out)
+    model = run(spark, str(path), out, multi_line=True)
     assert model.fact.count() == len(CHANGES) - 1
     text = spark.read.text(f"{out}/document/kpis").first().value
     figures = json.loads(text)

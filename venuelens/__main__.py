@@ -1,4 +1,4 @@
-"""spark-submit entry: python -m venuelens EXTRACT OUT [--split]"""
+"""spark-submit entry: python -m venuelens EXTRACT OUT [--multi-line]"""
 
 from __future__ import annotations
 
@@ -13,11 +13,11 @@ def main() -> None:
     parser.add_argument("extract", help="CSV file or folder of the raw extract")
     parser.add_argument("out", help="folder that all executors share")
     parser.add_argument(
-        "--split", action="store_true", help="split large files; no line breaks inside quotes"
+        "--multi-line", action="store_true", help="allow line breaks inside quotes; one task per file"
     )
     options = parser.parse_args()
     spark = session.builder().getOrCreate()
-    run(spark, options.extract, options.out, multi_line=not options.split)
+    run(spark, options.extract, options.out, multi_line=options.multi_line)
     spark.stop()
 
 

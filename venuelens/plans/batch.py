@@ -14,7 +14,7 @@ def run(
     extract: str,
     out: str,
     rules: CleaningRules = CleaningRules(),
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> star.Star:
     """Everything the engine publishes, under ``out``; the raw file is cleaned once and
     all results start from the written star."""

@@ -25,13 +25,15 @@ class HeaderError(ValueError):
 
 
 def read_raw(
-    spark: SparkSession, path: str, encoding: str = "ISO-8859-1", multi_line: bool = True
+    spark: SparkSession, path: str, encoding: str = "ISO-8859-1", multi_line: bool = False
 ) -> DataFrame:
     """Rows of the extract under engine names and types, plus their source order.
 
     The columns are found by header name, in any order; unknown ones are ignored.
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per
-    file; switch it off for data without them and large files are split.
+    Large files are split over tasks. That needs records of one line each: a line with
+    fewer or more fields than the header, such as one cut by a line break inside quotes,
+    fails the read. ``multi_line`` allows such breaks, at the price of one task per file;
+    there, missing fields at the end of a record are blank.
     """
     # Columns are matched by name, so the text is read under the file's own header.
     options = {
@@ -41,6 +43,9 @@ def read_raw(
         "escape": '"',
         "multiLine": multi_line,
         "enforceSchema": False,
+        # Fields are counted in whole records, so all are parsed where the count matters.
+        "columnPruning": multi_line,
+        "mode": "PERMISSIVE" if multi_line else "FAILFAST",
     }
     reader = spark.read.options(**options)
     header = reader.csv(path).columns
