@@ -86,6 +86,7 @@ def kpis(fact: DataFrame) -> DataFrame:
         F.max("max_cost").alias("max_cost"),
         mean("rating", "ratings").alias("avg_rating"),
         S.total(F.col("rated")).alias("rated_n"),
+        (venues - S.total(F.col("rated"))).alias("not_rated_n"),
         C.percent(venues - S.total(F.col("rated")), venues).alias("not_rated_pct"),
         (mean("delivery", "delivery_known") * 100).alias("delivery_pct"),
         (mean("booking", "booking_known") * 100).alias("booking_pct"),
@@ -114,6 +115,7 @@ def kpis(fact: DataFrame) -> DataFrame:
         "max_cost",
         "avg_rating",
         "rated_n",
+        "not_rated_n",
         "not_rated_pct",
         "delivery_pct",
         "booking_pct",

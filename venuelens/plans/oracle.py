@@ -85,6 +85,7 @@ SELECT count(*) AS restaurants, count(DISTINCT city) AS cities, count(DISTINCT l
        round(avg(cost), {money}) AS avg_cost, round(quantile_cont(cost, 0.5), {money}) AS median_cost,
        round(quantile_cont(cost, 0.9), {money}) AS p90_cost, round(max(cost), {money}) AS max_cost,
        round(avg(rating), {other}) AS avg_rating, count(rating) AS rated_n,
+       count(*) - count(rating) AS not_rated_n,
        round(100.0 * (count(*) - count(rating)) / nullif(count(*), 0), {other}) AS not_rated_pct,
        round(100 * avg(CAST(has_delivery AS INTEGER)), {other}) AS delivery_pct,
        round(100 * avg(CAST(has_booking AS INTEGER)), {other}) AS booking_pct,
@@ -194,6 +195,14 @@ def codes(field: str, source: str) -> str:
   CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT {field} AS v FROM {source})"""
 
 
+def _long(section: str, source: str, numbers: list[str], texts: list[str] = []) -> str:
+    """One row per place of ``source`` and field, as (section, place, field, number, text)."""
+    entry = "{{'field': '{0}', 'number': CAST({1} AS DOUBLE), 'text': CAST({2} AS VARCHAR)}}".format
+    fields = [entry(name, name, "NULL") for name in numbers] + [entry(name, "NULL", name) for name in texts]
+    return f"""SELECT '{section}' AS section, CAST(place AS INTEGER) AS place,
+      unnest([{", ".join(fields)}], recursive := true) FROM ({source})"""
+
+
 def statements() -> dict[str, str]:
     out: dict[str, str] = {}
 
@@ -543,7 +552,7 @@ SELECT (SELECT count(*) FROM fact) AS rows, (SELECT count(DISTINCT country) FROM
   (SELECT count(DISTINCT city) FROM fact) AS cities_global, restaurants AS rows_home, 50 AS min_votes_for_leaderboard,
   restaurants, k.cities, localities, {shown("avg_cost", 0, "avg_cost")},
   {shown("median_cost", 0, "median_cost")}, {shown("p90_cost", 0, "p90_cost")},
-  {shown("max_cost", 0, "max_cost")}, {shown("avg_rating", 2, "avg_rating")}, rated_n,
+  {shown("max_cost", 0, "max_cost")}, {shown("avg_rating", 2, "avg_rating")}, rated_n, not_rated_n,
   {shown("not_rated_pct", 1, "not_rated_pct")}, {shown("delivery_pct", 1, "delivery_pct")},
   {shown("booking_pct", 1, "booking_pct")}, total_votes, {shown("avg_votes", 0, "avg_votes")}, cuisines,
   {shown("avg_cuisines", 2, "avg_cuisines")}, credible_n, top_name, {shown("top_rating", 2, "top_rating")},
@@ -600,6 +609,68 @@ FROM home WHERE {condition} QUALIFY row_number() OVER (ORDER BY {order}) <= 15""
             for board, (condition, order) in orders.items()
         )
     )
+    figures = f"SELECT 0 AS place, * FROM ({out['kpi_document_figures']})"
+    board = f"SELECT * FROM ({out['kpi_document_boards']}) WHERE board = '{{0}}'".format
+    points = f"""SELECT venue_id, venue_name, city, {shown("cost", 2, "cost")}, {shown("rating", 2, "rating")}, votes,
+      price_label FROM home WHERE credible AND home.rating IS NOT NULL AND home.cost <= 300000
+      ORDER BY md5(concat(venue_id, ':42')), venue_id LIMIT 700"""
+    cuisine_figures = f"""cuisine, restaurants, total_votes, {shown("avg_rating", 2, "avg_rating")},
+      {shown("avg_cost", 0, "avg_cost")}, {shown("delivery_pct", 1, "delivery_pct")}"""
+    group_figures = f"""count(*) AS restaurants, {shown("avg(rating)", 2, "avg_rating")},
+      {shown("avg(cost)", 0, "avg_cost")}, {shown("avg(votes)", 0, "avg_votes")}"""
+    share = "100 * avg(CAST({0} AS INTEGER))".format
+    text = ["venue_name", "city", "locality", "cuisines"]
+    parts = [
+        _long("meta", figures, ["rows", "countries", "cities_global", "rows_home", "min_votes_for_leaderboard"]),
+        _long(
+            "kpi", figures,
+            ["restaurants", "cities", "localities", "avg_cost", "median_cost", "p90_cost", "max_cost",
+             "avg_rating", "rated_n", "not_rated_n", "not_rated_pct", "delivery_pct", "booking_pct", "total_votes",
+             "avg_votes", "cuisines", "avg_cuisines", "credible_n", "top_rating", "cost_skew", "naive_rating",
+             "bias_avoided"],
+            ["top_name", "priciest_name"],
+        ),
+        _long(
+            "stats", figures,
+            ["pearson_cost", "spearman", "pearson_votes", "n_for_correlation", "rating_gap", "welch_t", "n_yes",
+             "n_no", "metro_pct", "single_cuisine_pct", "top3_share_pct"],
+            ["top3_cuisines"],
+        ),
+        _long("rating_distribution", f"""
+          SELECT l.position - 1 AS place, band, coalesce(n, 0) AS restaurants FROM (VALUES {values(RATING_LABELS)})
+          l(position, band) LEFT JOIN (SELECT {histogram} AS position, count(*) AS n FROM home WHERE is_rated
+          GROUP BY 1) USING (position)""", ["restaurants"], ["band"]),
+        _long("cost_band_rating_trend", f"""
+          SELECT l.position - 1 AS place, band, coalesce(n, 0) AS restaurants, {shown("r", 2, "avg_rating")}
+          FROM (VALUES {values(TREND_LABELS)}) l(position, band) LEFT JOIN (SELECT {trend} AS position,
+          avg(rating) AS r, count(*) AS n FROM home WHERE {CREDIBLE} GROUP BY 1) USING (position)""",
+          ["restaurants", "avg_rating"], ["band"]),
+        _long("price_range_mix", f"""
+          SELECT {numbered("price_range")}, price_label, {group_figures},
+            {shown("100.0::DOUBLE * count(*) / (SELECT count(*) FROM home)", 1, "share_pct")},
+            {shown(share("has_delivery"), 1, "delivery_pct")}, {shown(share("has_booking"), 1, "booking_pct")}
+          FROM home GROUP BY price_range, price_label""",
+          ["restaurants", "share_pct", "avg_rating", "avg_cost", "delivery_pct", "booking_pct", "avg_votes"],
+          ["price_label"]),
+        _long("city_all", f"""
+          SELECT {numbered("restaurants DESC, city")}, * FROM (SELECT city, count(*) AS restaurants FROM home
+          GROUP BY city) ORDER BY place LIMIT 15""", ["restaurants"], ["city"]),
+        _long("cuisine_by_volume", f"""
+          SELECT {numbered("restaurants DESC, cuisine")}, {cuisine_figures} FROM t ORDER BY place LIMIT 15""",
+          ["restaurants", "avg_rating", "avg_cost", "total_votes", "delivery_pct"], ["cuisine"]),
+        _long("cuisine_by_rating", f"""
+          SELECT {numbered("round(t.avg_rating, 9) DESC, cuisine")}, {cuisine_figures} FROM t
+          WHERE restaurants >= 450 ORDER BY place LIMIT 12""", ["restaurants", "avg_rating", "avg_cost"], ["cuisine"]),
+        _long("cost_vs_rating", f"SELECT {numbered('venue_id')}, * FROM ({points})",
+              ["cost", "rating", "votes"], ["venue_name", "city", "price_label"]),
+        _long("delivery_effect", f"""
+          SELECT {numbered("has_delivery")}, has_delivery, {group_figures} FROM home GROUP BY has_delivery""",
+          ["restaurants", "avg_rating", "avg_votes", "avg_cost"], ["has_delivery"]),
+        *[_long(name, board(name), ["cost", "rating", "votes"], text) for name in orders],
+        _long("opportunity", out["kpi_document_shortlist"],
+              ["restaurants", "avg_rating", "avg_cost", "votes_per_venue", "score"], ["city", "locality"]),
+    ]
+    out["kpi_document"] = on_fact(f", t AS ({CUISINE_TABLE.format(source='home')}) " + " UNION ALL ".join(parts))
     out["growing_charts"] = opportunity(
         """
 SELECT locality, city, restaurants, round_even(avg_rating, 2) AS avg_rating,

@@ -599,8 +599,9 @@ def _document(spark, sf_dir):
 
 @register
 def kpi_document(spark, sf_dir):
-    """The whole document, as the JSON text that is written."""
-    return document.as_json(_document(spark, sf_dir))
+    """Every figure of the document, read back from the JSON text that is written."""
+    nested = _document(spark, sf_dir)
+    return document.read_back(document.as_json(nested), nested.schema)
 
 
 @register

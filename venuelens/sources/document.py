@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from venuelens.config import RATING_BANDS, TREND_BANDS, Bands, CleaningRules
 from venuelens.operators import filters, measures, opportunity, ranking
@@ -183,6 +184,42 @@ def as_json(document: DataFrame) -> DataFrame:
     return document.select(F.to_json(F.struct(*document.columns), KEEP_NULLS).alias("value"))
 
 
+def read_back(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """The document's JSON text as one row per figure: (section, place, field, number, text).
+
+    Places count the entries of a list; a section of single figures has place 0.
+    """
+
+    def entries(section: str, place: Column, record: Column, fields: T.StructType) -> Column:
+        def entry(field: T.StructField) -> Column:
+            value = record[field.name]
+            is_number = isinstance(field.dataType, T.NumericType)
+            return F.struct(
+                F.lit(section).alias("section"),
+                place.cast("int").alias("place"),
+                F.lit(field.name).alias("field"),
+                (value if is_number else F.lit(None)).cast("double").alias("number"),
+                (F.lit(None) if is_number else value).cast("string").alias("text"),
+            )
+
+        return F.array(*[entry(field) for field in fields])
+
+    def listed(section: str, records: Column, fields: T.StructType) -> Column:
+        return F.flatten(F.transform(records, lambda record, place: entries(section, place, record, fields)))
+
+    parts = []
+    for part in schema:
+        column = F.col("document")[part.name]
+        if part.name in ("charts", "tables"):
+            parts += [listed(f.name, column[f.name], f.dataType.elementType) for f in part.dataType]
+        else:
+            parts.append(entries(part.name, F.lit(0), column, part.dataType))
+    # A list that is missing must not take the others with it.
+    known = [F.coalesce(p, F.slice(parts[0], 1, 0)) for p in parts]
+    parsed = text.select(F.from_json("value", schema).alias("document"))
+    return parsed.select(F.inline(F.concat(*known)))
+
+
 def growing_charts(fact: DataFrame, rules: CleaningRules = CleaningRules()) -> dict[str, DataFrame]:
     """The tables of the document whose length follows the data."""
     home = filters.in_country(fact, rules.scope.home_country)
