@@ -189,15 +189,19 @@ def service_adoption(fact: DataFrame) -> DataFrame:
     return shares.unpivot([], shares.columns, "service", "share_pct")
 
 
-def share_measures(fact: DataFrame, metro_cities: Sequence[str]) -> DataFrame:
-    """Single-cuisine, budget, 4.0-and-over and metro shares."""
-    return fact.agg(
+def share_columns(metro_cities: Sequence[str]) -> list[Column]:
+    return [
         S.share_of_rows(F.col("cuisine_count") == 1).alias("single_cuisine_pct"),
         S.share_of_rows(F.col("price_range") <= 2).alias("budget_pct"),
         C.percent(F.count_if(F.col("rating") >= 4.0), F.count_if("is_rated")).alias("rated_4_plus_pct"),
         F.count_if(F.col("rating") >= 4.0).alias("rated_4_plus_n"),
         S.share_of_rows(F.col("city").isin(list(metro_cities))).alias("metro_pct"),
-    )
+    ]
+
+
+def share_measures(fact: DataFrame, metro_cities: Sequence[str]) -> DataFrame:
+    """Single-cuisine, budget, 4.0-and-over and metro shares."""
+    return fact.agg(*share_columns(metro_cities))
 
 
 def cheap_vs_luxury(fact: DataFrame, cheap_below: float, luxury_from: float) -> DataFrame:
@@ -503,15 +507,19 @@ def currency_page(fact: DataFrame, currency: str) -> DataFrame:
 
 
 # -- correlation and difference ---------------------------------------------
+def correlation_columns(n: str = "n") -> list[Column]:
+    known = F.col("credible") & F.col("cost").isNotNull() & F.col("rating").isNotNull()
+    cost, votes, rating = (F.when(known, value) for value in (F.col("cost"), F.log1p("votes"), F.col("rating")))
+    return [
+        S.pearson(cost, rating).alias("pearson_cost"),
+        S.pearson(votes, rating).alias("pearson_votes"),
+        F.count_if(known).alias(n),
+    ]
+
+
 def correlations(fact: DataFrame) -> DataFrame:
     """Pearson of cost and of log votes with rating, over credible venues."""
-    known = fact.where(F.col("credible") & F.col("cost").isNotNull() & F.col("rating").isNotNull())
-    rating = F.col("rating")
-    return known.agg(
-        S.pearson(F.col("cost"), rating).alias("pearson_cost"),
-        S.pearson(F.log1p("votes"), rating).alias("pearson_votes"),
-        venue_count().alias("n"),
-    )
+    return fact.agg(*correlation_columns())
 
 
 def spearman(fact: DataFrame, x: str = "cost", y: str = "rating") -> DataFrame:
@@ -545,7 +553,11 @@ def spearman(fact: DataFrame, x: str = "cost", y: str = "rating") -> DataFrame:
     )
 
 
+def delivery_difference_columns() -> list[Column]:
+    parts = S.welch_t(F.when(F.col("is_rated"), F.col("rating")), F.col("has_delivery"))
+    return [column.alias(name) for name, column in parts.items()]
+
+
 def delivery_difference(fact: DataFrame) -> DataFrame:
     """Welch test of rated venues that deliver against those that do not."""
-    parts = S.welch_t(F.col("rating"), F.col("has_delivery"))
-    return fact.where("is_rated").agg(*[column.alias(name) for name, column in parts.items()])
+    return fact.agg(*delivery_difference_columns())

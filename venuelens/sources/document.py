@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from venuelens.config import RATING_BANDS, TREND_BANDS, Bands, CleaningRules
+from venuelens.functions.statistics import adjusted_skewness
 from venuelens.operators import filters, measures, opportunity, ranking
 from venuelens.operators.measures import only_row
 
@@ -70,40 +71,32 @@ PLACE = ["city", "locality", "restaurants", "avg_rating", "avg_cost", "votes_per
 CUISINE = ["cuisine", "restaurants", "avg_rating", "avg_cost", "total_votes", "delivery_pct"]
 
 
-def kpi_section(home: DataFrame) -> DataFrame:
+def kpi_section(home: DataFrame, once: Column) -> DataFrame:
     """The KPI strip with the skewness and the rating bias, rounded."""
-    strip = measures.kpis(home).withColumns(
-        {
-            "cost_skew": measures.cost_skewness(home).scalar(),
-            "naive_rating": measures.naive_bias(home).select("naive_rating").scalar(),
-        }
-    )
-    rounded = presented(strip)
+    strip = measures.kpis(home).withColumn("once", once)
+    rounded = presented(strip.select("*", "once.cost_skew", "once.naive_rating").drop("once"))
     # The difference of the two figures as they are shown.
     return rounded.withColumn("bias_avoided", F.bround(F.col("avg_rating") - F.col("naive_rating"), 2))
 
 
-def stats_section(home: DataFrame, rules: CleaningRules) -> DataFrame:
-    parts = measures.correlations(home).withColumnsRenamed({"n": "n_for_correlation"}).withColumns(
-        {
-            "ranks": only_row(measures.spearman(home)),
-            "welch": only_row(measures.delivery_difference(home)),
-            "shares": only_row(measures.share_measures(home, rules.scope.metro_cities)),
-            "top3": only_row(measures.top_cuisine_share(home, 3)),
-        }
+def stats_section(home: DataFrame, once: Column) -> DataFrame:
+    parts = home.sparkSession.range(0, 1, 1, 1).select(
+        once.alias("once"),
+        only_row(measures.spearman(home)).alias("ranks"),
+        only_row(measures.top_cuisine_share(home, 3)).alias("top3"),
     )
     return presented(
         parts.select(
-            "pearson_cost",
+            "once.pearson_cost",
             "ranks.spearman",
-            "pearson_votes",
-            "n_for_correlation",
-            "welch.rating_gap",
-            "welch.welch_t",
-            "welch.n_yes",
-            "welch.n_no",
-            "shares.metro_pct",
-            "shares.single_cuisine_pct",
+            "once.pearson_votes",
+            "once.n_for_correlation",
+            "once.rating_gap",
+            "once.welch_t",
+            "once.n_yes",
+            "once.n_no",
+            "once.metro_pct",
+            "once.single_cuisine_pct",
             F.col("top3.cuisines").alias("top3_cuisines"),
             F.col("top3.share_pct").alias("top3_share_pct"),
         )
@@ -120,9 +113,20 @@ def kpi_document(
     """One row with the nested result of the home scope: meta, kpi, charts, tables, stats."""
     home = filters.in_country(fact, rules.scope.home_country)
     floors = rules.floors
+    # The figures that need nothing but the home rows, in one pass.
+    once = only_row(
+        home.agg(
+            measures.venue_count().alias("rows_home"),
+            adjusted_skewness(F.col("cost")).alias("cost_skew"),
+            F.avg(F.coalesce("rating", F.lit(0.0))).alias("naive_rating"),
+            *measures.correlation_columns("n_for_correlation"),
+            *measures.delivery_difference_columns(),
+            *measures.share_columns(rules.scope.metro_cities),
+        )
+    )
     meta = measures.dataset_facts(fact).withColumnRenamed("cities", "cities_global").withColumns(
         {
-            "rows_home": home.agg(F.count(F.lit(1)).alias("n")).scalar(),
+            "rows_home": once["rows_home"],
             "min_votes_for_leaderboard": F.lit(floors.votes),
         }
     )
@@ -172,10 +176,10 @@ def kpi_document(
     )
     return fact.sparkSession.range(0, 1, 1, 1).select(
         only_row(meta).alias("meta"),
-        only_row(kpi_section(home)).alias("kpi"),
+        only_row(kpi_section(home, once)).alias("kpi"),
         charts.alias("charts"),
         tables.alias("tables"),
-        only_row(stats_section(home, rules)).alias("stats"),
+        only_row(stats_section(home, once)).alias("stats"),
     )
 
 
@@ -190,34 +194,30 @@ def read_back(text: DataFrame, schema: T.StructType) -> DataFrame:
     Places count the entries of a list; a section of single figures has place 0.
     """
 
-    def entries(section: str, place: Column, record: Column, fields: T.StructType) -> Column:
-        def entry(field: T.StructField) -> Column:
-            value = record[field.name]
-            is_number = isinstance(field.dataType, T.NumericType)
-            return F.struct(
-                F.lit(section).alias("section"),
-                place.cast("int").alias("place"),
-                F.lit(field.name).alias("field"),
-                (value if is_number else F.lit(None)).cast("double").alias("number"),
-                (F.lit(None) if is_number else value).cast("string").alias("text"),
+    def entries(section: str, place: str, record: str, fields: T.StructType) -> str:
+        return ", ".join(
+            f"named_struct('section', '{section}', 'place', cast({place} as int), 'field', '{field.name}', "
+            + (
+                f"'number', cast({record}.{field.name} as double), 'text', cast(null as string))"
+                if isinstance(field.dataType, T.NumericType)
+                else f"'number', cast(null as double), 'text', cast({record}.{field.name} as string))"
             )
+            for field in fields
+        )
 
-        return F.array(*[entry(field) for field in fields])
-
-    def listed(section: str, records: Column, fields: T.StructType) -> Column:
-        return F.flatten(F.transform(records, lambda record, place: entries(section, place, record, fields)))
-
-    parts = []
+    single, listed = [], []
     for part in schema:
-        column = F.col("document")[part.name]
         if part.name in ("charts", "tables"):
-            parts += [listed(f.name, column[f.name], f.dataType.elementType) for f in part.dataType]
+            for chart in part.dataType:
+                rows = entries(chart.name, "place", "entry", chart.dataType.elementType)
+                column = f"coalesce(document.{part.name}.{chart.name}, array())"
+                listed.append(f"flatten(transform({column}, (entry, place) -> array({rows})))")
         else:
-            parts.append(entries(part.name, F.lit(0), column, part.dataType))
-    # A list that is missing must not take the others with it.
-    known = [F.coalesce(p, F.slice(parts[0], 1, 0)) for p in parts]
+            single.append(entries(part.name, "0", f"document.{part.name}", part.dataType))
+    # One text instead of a call for each of some hundred fields.
+    every = F.expr(f"concat(array({', '.join(single)}), {', '.join(listed)})")
     parsed = text.select(F.from_json("value", schema).alias("document"))
-    return parsed.select(F.inline(F.concat(*known)))
+    return parsed.select(F.inline(every))
 
 
 def growing_charts(fact: DataFrame, rules: CleaningRules = CleaningRules()) -> dict[str, DataFrame]:
