@@ -113,7 +113,8 @@ def invariants(
 
 
 def filter_invariants(
-    fact: DataFrame, city: str, impossible: FilterSpec, tiers: Sequence[int] = (1,), cuisines: Sequence[str] = ()
+    fact: DataFrame, city: str, impossible: FilterSpec, tiers: Sequence[int] = (1,), cuisines: Sequence[str] = (),
+    search: str = "",
 ) -> DataFrame:
     """Rules of the filter layer as (check, passed), measured on the filtered frames."""
 
@@ -123,12 +124,15 @@ def filter_invariants(
         return filters.apply_filters(fact, spec).agg(counts.alias("v")).scalar()
 
     has_cuisine = F.arrays_overlap("cuisine_list", F.array(*[F.lit(c) for c in cuisines]).cast("array<string>"))
+    # Found without case, as a pattern with the text quoted: another way than the filter's.
+    matches = F.concat_ws("\n", "venue_name", "locality").rlike("(?i)\\Q" + search.replace("\\E", "") + "\\E")
     base = fact.agg(
         measures.venue_count().alias("total"),
         F.count_if(F.col("city") == city).alias("city_rows"),
         F.count_if(F.col("price_range").isin(list(tiers))).alias("tier_rows"),
         F.count_if(has_cuisine).alias("cuisine_rows"),
         F.count_if("has_delivery").alias("delivery_rows"),
+        F.count_if(matches).alias("search_rows"),
     )
     nothing = measures.kpis(filters.apply_filters(fact, impossible))
     city_kpis = measures.kpis(filters.apply_filters(fact, FilterSpec(cities=(city,))))
@@ -138,6 +142,7 @@ def filter_invariants(
             "city": kept(FilterSpec(cities=(city,)), F.col("city") == city),
             "tier": kept(FilterSpec(price_tiers=tuple(tiers)), F.col("price_range").isin(list(tiers))),
             "cuisine": kept(FilterSpec(cuisines=tuple(cuisines)), has_cuisine) if cuisines else F.lit(None),
+            "search": kept(FilterSpec(search=search), matches),
             "delivery": kept(FilterSpec(delivery_only=True), F.col("has_delivery")),
             "none": kept(impossible, F.lit(False)),
             "kpi_city": city_kpis.select("restaurants").scalar(),
@@ -158,6 +163,8 @@ def filter_invariants(
         "figures compute on a filtered frame": F.col("kpi_city") == F.col("city_rows"),
         "figures compute on an empty frame": F.col("kpi_none") == 0,
     }
+    if search:
+        tests["a search keeps every venue that matches and no other"] = keeps("search")
     if cuisines:
         tests["a cuisine filter keeps only venues with one"] = keeps("cuisine")
     return _checks(row, tests)

@@ -72,14 +72,14 @@ def dictionary_codes(values: DataFrame, column: str) -> DataFrame:
         "_part", "_first", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
     )
     code = F.col("_start") + F.col("_place") - F.col("_first")
-    return placed.join(F.broadcast(starts), "_part").select(column, code.cast("int").alias("code"))
+    return placed.join(F.broadcast(starts), "_part").select(column, code.cast("long").alias("code"))
 
 
 def encode(df: DataFrame, column: str, codes: DataFrame, output: str) -> DataFrame:
     """Replace a value by its code; a value without one gets -1. Spark broadcasts the
     dictionary if it is small enough."""
     renamed = codes.select(F.col(column), F.col("code").alias(output))
-    return df.join(renamed, column, "left").withColumn(output, F.coalesce(output, F.lit(-1)))
+    return df.join(renamed, column, "left").withColumn(output, F.coalesce(output, F.lit(-1).cast("long")))
 
 
 def encode_list(df: DataFrame, key: str, items: str, codes: DataFrame, output: str) -> DataFrame:
@@ -96,5 +96,5 @@ def encode_list(df: DataFrame, key: str, items: str, codes: DataFrame, output: s
         .groupBy(key)
         .agg(F.sort_array(F.collect_list("_code")).alias(output))
     )
-    empty = F.array().cast("array<int>")
+    empty = F.array().cast("array<bigint>")
     return df.join(lists, key, "left").withColumn(output, F.coalesce(output, empty))

@@ -67,6 +67,14 @@ def restrict_bridge(bridge: DataFrame, fact: DataFrame) -> DataFrame:
     return bridge.join(fact.select("venue_id"), "venue_id", "left_semi")
 
 
+def keys_of(dimension: DataFrame, key: str, most: int = 100_000) -> DataFrame:
+    """The distinct keys of a dimension for a semi join, broadcast if there are at most
+    ``most``: the count reads the dimension alone and stops one row beyond that. A larger
+    dimension is left to a shuffle join."""
+    keys = dimension.select(key).distinct()
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
+
+
 def through_dimensions(
     fact: DataFrame,
     bridge: DataFrame,
@@ -79,14 +87,16 @@ def through_dimensions(
     """Carry selections on dimension tables to the fact, along the star's relations.
 
     Country, city and tier filter the fact by their key. A cuisine selection goes up
-    the bridge, so it keeps a venue once however many of its cuisines are selected.
+    the bridge, so it keeps a venue once however many of its cuisines are selected. The
+    selections are counted first, so that the fact is not shuffled for a small one.
     """
     kept = fact
     for dimension, key in ((countries, "country_code"), (cities, "city"), (tiers, "price_range")):
         if dimension is not None:
-            kept = kept.join(dimension, key, "left_semi")
+            kept = kept.join(keys_of(dimension, key), key, "left_semi")
     if cuisines is not None:
-        kept = kept.join(bridge.join(cuisines, "cuisine", "left_semi"), "venue_id", "left_semi")
+        selected = bridge.join(keys_of(cuisines, "cuisine"), "cuisine", "left_semi")
+        kept = kept.join(selected, "venue_id", "left_semi")
     return kept
 
 

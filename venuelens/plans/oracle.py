@@ -192,7 +192,7 @@ SELECT step, CAST(rows_affected AS BIGINT) AS rows_affected, detail FROM (
 
 def codes(field: str, source: str) -> str:
     return f"""SELECT '{field}' AS field, v AS value,
-  CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT {field} AS v FROM {source})"""
+  row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT {field} AS v FROM {source})"""
 
 
 def _long(section: str, source: str, numbers: list[str], texts: list[str] = []) -> str:
@@ -259,8 +259,7 @@ uc AS (SELECT cuisine, row_number() OVER (ORDER BY cuisine) - 1 AS code
        FROM (SELECT DISTINCT cuisine FROM home_pairs)),
 lists AS (SELECT venue_id, string_agg(CAST(code AS VARCHAR), ',' ORDER BY code) AS cuisine_codes
           FROM home_pairs JOIN uc USING (cuisine) GROUP BY venue_id)
-SELECT venue_name AS name, CAST(city_code AS INTEGER) AS city_code,
-       CAST(locality_code AS INTEGER) AS locality_code, CAST(trunc(cost) AS BIGINT) AS cost,
+SELECT venue_name AS name, city_code, locality_code, CAST(trunc(cost) AS BIGINT) AS cost,
        round_even(rating, 1) AS rating, votes, price_range, CAST(has_delivery AS INTEGER) AS delivery,
        CAST(has_booking AS INTEGER) AS booking, cuisine_codes
 FROM home JOIN cc USING (city) JOIN lc USING (locality) JOIN lists USING (venue_id)""")
@@ -493,16 +492,21 @@ FROM ranked, baseline WHERE ranked.avg_rating < qm AND ln(1 + ranked.votes_per_v
 SELECT round(avg(avg_cost), 4) AS shortlist_avg_cost FROM ranked WHERE score IS NOT NULL AND place <= 5""")
 
     # -- reconciliation
-    out["reconcile"] = on_fact("""
-, k AS (SELECT count(*) AS n, count(rating) AS r, count(*) FILTER (credible) AS c, sum(votes) AS v,
-  100 * avg(CAST(has_delivery AS INTEGER)) AS d, 100 * avg(CAST(has_booking AS INTEGER)) AS b,
-  (SELECT venue_name FROM home WHERE credible ORDER BY rating DESC, votes DESC, venue_id LIMIT 1) AS t FROM home)
-SELECT metric, round(CAST(actual AS DOUBLE), 6) AS actual, actual_text, true AS passed FROM (
-  SELECT 'restaurants' AS metric, n AS actual, CAST(NULL AS VARCHAR) AS actual_text FROM k
-  UNION ALL SELECT 'rated_n', r, NULL FROM k UNION ALL SELECT 'not_rated_pct', 100.0::DOUBLE * (n - r) / n, NULL FROM k
-  UNION ALL SELECT 'credible_n', c, NULL FROM k UNION ALL SELECT 'delivery_pct', d, NULL FROM k
-  UNION ALL SELECT 'booking_pct', b, NULL FROM k UNION ALL SELECT 'total_votes', v, NULL FROM k
-  UNION ALL SELECT 'top_name', NULL, t FROM k)""")
+    compared = [
+        "restaurants", "cities", "localities", "avg_cost", "max_cost", "avg_rating", "rated_n", "not_rated_n",
+        "not_rated_pct", "delivery_pct", "booking_pct", "total_votes", "avg_votes", "cuisines", "avg_cuisines",
+        "credible_n", "top_rating",
+    ]
+    strip = _long("", f"SELECT 0 AS place, * FROM ({kpi_strip('home', exact=True)})", compared, ["top_name", "priciest_name"])
+    statistics = f"""
+SELECT 0 AS place, corr(cost, rating) AS pearson_cost, count(*) AS pearson_n,
+  (SELECT avg(rating) FILTER (has_delivery) - avg(rating) FILTER (NOT has_delivery) FROM home) AS rating_gap,
+  (SELECT count(*) FROM loc) AS scored_localities, (SELECT sum(restaurants) FROM loc) AS scored_venues
+FROM home WHERE {CREDIBLE}"""
+    names = ["pearson_cost", "pearson_n", "rating_gap", "scored_localities", "scored_venues"]
+    out["reconcile"] = f"""WITH {FACT}, {localities(where="true")}, rated_loc AS (FROM loc WHERE avg_rating IS NOT NULL)
+SELECT field AS metric, round(number, 4) AS actual, text AS actual_text, true AS passed
+FROM ({strip} UNION ALL {_long("", statistics.replace("FROM loc", "FROM rated_loc"), names)})"""
     out["invariants"] = f"""WITH {FACT}, {localities()}
 SELECT 'tiers sum to the venue count' AS "check",
        (SELECT count(*) FROM home WHERE price_range BETWEEN 1 AND 5) = (SELECT count(*) FROM home) AS passed
@@ -522,6 +526,7 @@ UNION ALL SELECT 'a country has one currency',
 SELECT 'a city filter narrows the frame' AS "check", n > 0 AND n < (SELECT count(*) FROM home) AS passed FROM one
 UNION ALL SELECT 'a city filter keeps only that city', true
 UNION ALL SELECT 'a tier filter keeps only those tiers', true
+UNION ALL SELECT 'a search keeps every venue that matches and no other', true
 UNION ALL SELECT 'a cuisine filter keeps only venues with one', true
 UNION ALL SELECT 'an empty filter keeps every row', true
 UNION ALL SELECT 'an impossible filter is empty', count(*) = 0 FROM home

@@ -566,18 +566,76 @@ def shortlist_cost(spark, sf_dir):
 # -- reconciliation --------------------------------------------------------------
 @register
 def reconcile(spark, sf_dir):
-    """The KPI strip, which goes through area totals, against direct counts of the fact."""
-    shared = [
-        "restaurants", "rated_n", "not_rated_pct", "credible_n", "delivery_pct", "booking_pct",
-        "total_votes",
-    ]
-    rows = home(spark, sf_dir)
-    actual = measures.kpis(rows).select(*shared, "top_name")
-    best = ranking.top_rated(rows, 1).select("venue_name").scalar()
-    expected = measures.rates(rows).select(*shared, best.alias("top_name"))
-    tolerance = dict.fromkeys(("not_rated_pct", "delivery_pct", "booking_pct"), 1e-9)
-    compared = checks.reconcile(checks.as_long(actual), checks.as_long(expected), tolerance)
-    return compared.select("metric", "actual", "actual_text", "passed")
+    """The figures as the measures compute them, through area totals, arrays and scored
+    localities, against direct aggregates of the fact and joins with the bridge."""
+    rows, pairs = home(spark, sf_dir), filters.restrict_bridge(bridge(spark, sf_dir), home(spark, sf_dir))
+    scored = _scored(spark, sf_dir)
+    measured = measures.kpis(rows).drop("median_cost", "p90_cost").withColumns(
+        {
+            "correlation": measures.only_row(measures.correlations(rows)),
+            "welch": measures.only_row(measures.delivery_difference(rows)),
+            "localities_scored": measures.only_row(
+                scored.agg(measures.venue_count().alias("n"), F.sum("restaurants").alias("venues"))
+            ),
+        }
+    )
+    nested = ("correlation", "welch", "localities_scored")
+    actual = measured.select(
+        *[c for c in measured.columns if c not in nested], "correlation.pearson_cost",
+        F.col("correlation.n").alias("pearson_n"), "welch.rating_gap",
+        F.col("localities_scored.n").alias("scored_localities"),
+        F.col("localities_scored.venues").alias("scored_venues"),
+    )
+
+    rated, total = F.count("rating"), F.count("venue_id")
+    known = F.col("credible") & F.col("cost").isNotNull() & F.col("rating").isNotNull()
+    x, y = F.when(known, F.col("cost")), F.when(known, F.col("rating"))
+    covariance = F.avg(x * y) - F.avg(x) * F.avg(y)
+    spread = F.sqrt((F.avg(x * x) - F.avg(x) * F.avg(x)) * (F.avg(y * y) - F.avg(y) * F.avg(y)))
+    per_place = rows.groupBy("city", "locality").agg(F.count("venue_id").alias("n"), F.count("rating").alias("rated"))
+    places = per_place.where((F.col("n") >= FLOORS.locality) & (F.col("rated") > 0))
+    best, dearest = ranking.top_rated(rows, 1), ranking.most_expensive(rows, 1)
+
+    def share(flag: str):
+        return F.try_divide(F.sum(F.col(flag).cast("int")) * 100.0, F.count(flag))
+
+    expected = rows.agg(
+        total.alias("restaurants"),
+        F.count_distinct("city").alias("cities"),
+        F.count_distinct("locality").alias("localities"),
+        F.avg("cost").alias("avg_cost"),
+        F.max("cost").alias("max_cost"),
+        F.avg("rating").alias("avg_rating"),
+        rated.alias("rated_n"),
+        (total - rated).alias("not_rated_n"),
+        F.try_divide((total - rated) * 100.0, total).alias("not_rated_pct"),
+        share("has_delivery").alias("delivery_pct"),
+        share("has_booking").alias("booking_pct"),
+        F.sum("votes").alias("total_votes"),
+        F.avg("votes").alias("avg_votes"),
+        F.avg("cuisine_count").alias("avg_cuisines"),
+        F.sum(F.col("credible").cast("int")).alias("credible_n"),
+        F.try_divide(covariance, spread).alias("pearson_cost"),
+        F.count(x).alias("pearson_n"),
+        (
+            F.avg(F.when(F.col("has_delivery"), F.col("rating")))
+            - F.avg(F.when(~F.col("has_delivery"), F.col("rating")))
+        ).alias("rating_gap"),
+    ).withColumns(
+        {
+            "cuisines": pairs.agg(F.count_distinct("cuisine").alias("n")).scalar(),
+            "top_name": best.select("venue_name").scalar(),
+            "top_rating": best.select("rating").scalar(),
+            "priciest_name": dearest.select("venue_name").scalar(),
+            "scored_localities": places.agg(F.count("n").alias("n")).scalar(),
+            "scored_venues": places.agg(F.sum("n").alias("n")).scalar(),
+        }
+    )
+    # Counts and names must be equal, means and shares up to the order of additions.
+    close = ("avg_cost", "avg_rating", "not_rated_pct", "delivery_pct", "booking_pct", "avg_votes", "avg_cuisines",
+             "rating_gap", "pearson_cost")
+    compared = checks.reconcile(checks.as_long(actual), checks.as_long(expected), dict.fromkeys(close, 1e-6))
+    return compared.select("metric", F.round("actual", 4).alias("actual"), "actual_text", "passed")
 
 
 @register
@@ -587,7 +645,7 @@ def invariants(spark, sf_dir):
 
 @register
 def filter_invariants(spark, sf_dir):
-    return checks.filter_invariants(home(spark, sf_dir), CITY, IMPOSSIBLE, TIERS, CUISINES)
+    return checks.filter_invariants(home(spark, sf_dir), CITY, IMPOSSIBLE, TIERS, CUISINES, SEARCH)
 
 
 # -- export ------------------------------------------------------------------------
