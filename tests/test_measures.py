@@ -268,7 +268,9 @@ def test_kpis(fact, frame):
 
 def test_kpis_of_nothing(empty):
     got = one(measures.kpis(empty))
-    zero = {"restaurants", "cities", "localities", "rated_n", "total_votes", "cuisines", "credible_n"}
+    zero = {
+        "restaurants", "cities", "localities", "rated_n", "not_rated_n", "total_votes", "cuisines", "credible_n",
+    }
     assert {k for k, v in got.items() if v == 0} == zero
     assert all(v is None for k, v in got.items() if k not in zero)
 

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoint files of dictionaries are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Call sites of every column expression are not recorded: half the planning time.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
