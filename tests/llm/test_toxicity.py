@@ -61,3 +61,25 @@ def test_length_does_not_move_a_score(spark):
     model = toxicity.Model(-3.0, np.sort(np.array(sorted(toxicity.terms("idiot")))), np.full(2, 4.0), np.zeros((2, 4)))
     short, long = toxicity.predict(model, [toxicity.terms("you idiot"), toxicity.terms(LONG + " you idiot")])
     assert short == long > 0.5
+
+
+def test_pairs_are_learned_from_texts(spark):
+    """The same through train() and score(): no word tells anything alone."""
+    random = np.random.default_rng(2)
+    rows = []
+    for i in range(1200):
+        a, b = random.integers(0, 2, 2)
+        noise = " ".join(f"n{j}" for j in random.integers(100, 400, 6))
+        rows.append((i, f"{noise} a{a} b{b}", int(a == b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs, docs.where("doc_id < 900").select("doc_id", "toxic"), settings=toxicity.Settings(epochs=60))
+    rated = docs.where("doc_id >= 900").select("toxic", toxicity.score(docs, model).alias("got")).collect()
+    assert np.mean([(r.got >= 0.5) == r.toxic for r in rated]) > 0.9
+
+
+def test_a_neutral_word_is_learned_with_an_insult(spark):
+    """An insult is toxic with a group's name only; the name is as frequent in both classes."""
+    rows = [(i, "insult group" if i < 20 else "insult" if i < 60 else "group" if i < 220 else "plain", int(i < 20 or i >= 900)) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs, docs.select("doc_id", "toxic"))
+    assert toxicity.terms("group") <= set(model.terms.tolist())

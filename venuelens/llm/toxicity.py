@@ -3,8 +3,9 @@
 A text is the set of its hashed terms: words and word beginnings. The score is the logistic
 of a bias, a weight per term, and a product of two factor vectors per pair of terms, which
 learns pairs (an insult with a group mentioned) that weights alone cannot. Only terms whose
-counts in the two classes differ beyond chance are learned, and sparse penalties take weights
-that do not help to zero, so the length of a text does not move its score.
+counts in the two classes differ beyond chance, alone or together with another term, are learned,
+and sparse penalties take weights that do not help to zero, so the length of a text does not move
+its score.
 """
 
 from __future__ import annotations
@@ -33,11 +34,15 @@ HASH_BITS = 22
 @dataclass(frozen=True)
 class Settings:
     """``sample`` bounds the labelled rows learned from. A term is learned if its log-likelihood
-    ratio between the classes is at least ``evidence``, and of these the ``terms`` with most."""
+    ratio between the classes is at least ``evidence``, and of these the ``terms`` with most; or
+    if with another term it has ``pair_evidence`` more than either alone, which chance hardly gives
+    to one of many million pairs. Of terms frequent enough for that the ``paired`` most frequent are tried."""
 
     sample: int = 10_000
     evidence: float = 12.0
     terms: int = 20_000
+    pair_evidence: float = 40.0
+    paired: int = 8_000
     factors: int = 4
     epochs: int = 30
     batch: int = 128
@@ -164,7 +169,7 @@ def train(
 
     ``labelled`` has (doc_id, label); an id labelled more than once counts as toxic if any
     row says so, and null labels or ids are left out. Terms are counted by class on Spark, and
-    only those that tell the classes apart reach the driver.
+    only those that tell the classes apart, or are in rows enough for a telling pair, reach the driver.
     """
     chosen = (
         labelled.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
@@ -193,11 +198,65 @@ def train(
         .orderBy(F.desc("ratio"), "term")
         .limit(settings.terms)
     )
-    # ``told`` has at most ``terms`` numbers.
-    of_row = each.join(F.broadcast(told.select("term")), "term").groupBy("row").agg(F.collect_list("term").alias("found"))
+    # A pair tells most if all rows of its rarer term in one class have it and none of the other class.
+    pure = [(F.col("toxic"), F.col("toxic")), (F.lit(0.0), F.col("all") - F.col("toxic"))]
+    most = F.greatest(*[_ratio(a, b, float(positive), float(n)) for a, b in pure])
+    pairable = counts.where(most >= settings.pair_evidence).orderBy(F.desc("all"), "term").limit(settings.paired)
+    marked = told.select("term", F.lit(True).alias("alone"), F.lit(False).alias("paired")).unionByName(
+        pairable.select("term", F.lit(False).alias("alone"), F.lit(True).alias("paired"))
+    )
+    marked = marked.groupBy("term").agg(F.max("alone").alias("alone"), F.max("paired").alias("paired")).collect()
+    if not marked:
+        marked = [(-1, True, True)]
+    # ``marked`` has at most ``terms`` and ``paired`` numbers.
+    wanted = docs.sparkSession.createDataFrame([(t,) for t, *_ in marked], "term int")
+    of_row = each.join(F.broadcast(wanted), "term").groupBy("row").agg(F.collect_list("term").alias("found"))
     rows = seen.select("row", "y").join(of_row, "row", "left").orderBy("row").limit(settings.sample).collect()
     found = [np.sort(np.asarray(r.found or [], np.int64)) for r in rows]
-    return fit(found, np.array([r.y for r in rows], float), settings)
+    labels = np.array([r.y for r in rows], float)
+    together = in_telling_pairs(found, labels, np.array(sorted(t for t, _, p in marked if p), np.int64), settings)
+    learned = np.union1d(np.array([t for t, a, _ in marked if a], np.int64), together)
+    return fit([r[np.isin(r, learned)] for r in found], labels, settings)
+
+
+def in_telling_pairs(
+    rows: list[np.ndarray], labels: np.ndarray, tried: np.ndarray, settings: Settings = Settings()
+) -> np.ndarray:
+    """Terms of ``tried`` (sorted) that tell the classes apart together with another, beyond either alone."""
+    if not len(tried) or not len(rows):
+        return np.zeros(0, np.int64)
+    has = np.zeros((len(rows), len(tried)), np.uint8)
+    for i, row in enumerate(rows):
+        has[i, np.searchsorted(tried, row[np.isin(row, tried)])] = 1
+    toxic, n = labels == 1, float(len(rows))
+    positive = float(toxic.sum())
+    alone = _ratios(has[toxic].sum(axis=0, dtype=float), has.sum(axis=0, dtype=float), positive, n)
+    ends, block = np.zeros(len(tried), bool), 512
+    for low in range(0, len(tried), block):
+        left = has[:, low : low + block].astype(np.float32)
+        for at in range(low, len(tried), block):
+            right = has[:, at : at + block].astype(np.float32)
+            of_toxic = (left[toxic].T @ right[toxic]).astype(float)
+            ratio = _ratios(of_toxic, of_toxic + left[~toxic].T @ right[~toxic], positive, n)
+            more = ratio - np.maximum(alone[low : low + block, None], alone[None, at : at + block])
+            a, b = np.nonzero(more >= settings.pair_evidence)
+            ends[low + a] = ends[at + b] = True
+    return tried[ends]
+
+
+def _ratios(toxic: np.ndarray, all_: np.ndarray, positive: float, n: float) -> np.ndarray:
+    """``_ratio`` of arrays of counts."""
+    total = np.zeros(np.shape(all_))
+    for count, rows, columns in (
+        (toxic, positive, all_),
+        (all_ - toxic, n - positive, all_),
+        (positive - toxic, positive, n - all_),
+        (n - positive - all_ + toxic, n - positive, n - all_),
+    ):
+        expected = rows * columns / n
+        some = count > 0
+        total += np.where(some, 2 * count * np.log(np.where(some, count, 1) / np.where(some, expected, 1)), 0.0)
+    return total
 
 
 def _ratio(toxic: Column, all_: Column, positive: float, n: float) -> Column:
