@@ -104,6 +104,26 @@ def test_trees_learn_and_equal_their_sql(spark):
     assert np.mean([(r.score > 0.5) == (r.verdict == "block") for r in rated]) > 0.7
 
 
+def test_trees_of_few_urls_with_many_rows(spark):
+    """Ten urls in 50,000 rows, and one url with a third of the rows, give the trees that their counts give."""
+    ten = [f"http://h{i}.example.{'net' if i < 5 else 'org'}/{'a' if i < 5 else 'fr'}/{'x' * i}" for i in range(10)]
+    pages = spark.range(50_000).select("id", F.element_at(F.array(*map(F.lit, ten)), (F.col("id") % 10 + 1).cast("int")).alias("url"))
+    hot = pages.limit(25_000).withColumn("url", F.lit("http://hot.org/fr/")).unionByName(
+        spark.range(50_000).select("id", F.concat(F.lit("http://h"), "id", F.when(F.col("id") % 2 == 0, ".net/a").otherwise(".org/fr/")).alias("url"))
+    )
+    for given, urls_seen in ((pages, 10), (hot, 20_000)):
+        named = given.select("url", urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path"))
+        ruled = named.withColumn("verdict", urls.verdict_of(urls.rule_of(F.col("host"), F.col("path"), queries.RULES), queries.RULES))
+        sizes = []
+        fitted, urls.fit = urls.fit, lambda x, y, *a: (sizes.append((len(y), y.mean())), fitted(x, y, *a))[1]
+        try:
+            model = urls.train(ruled, "url", "host", "path", "verdict")
+        finally:
+            urls.fit = fitted
+        assert len(model.trees) == urls.Settings().rounds
+        assert sizes[0][0] == urls_seen and 0.3 < sizes[0][1] < 0.7
+
+
 # -- mixture ----------------------------------------------------------------
 def filled(budget, children):
     """{name: given} by raising one multiple of the weights until the budget is gone."""

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuelens.llm.tables import hashed_sample
+from venuelens.llm.tables import hashed_sample, written
 
 ALLOW, BLOCK = "allow", "block"
 SUFFIX_BUCKETS = 1024
@@ -126,9 +126,15 @@ def with_features(rows: DataFrame, url: str, host: str, path: str) -> DataFrame:
     return spelled.select(*rows.columns, F.struct(*named, suffix_bucket(F.col(host)).alias("suffix")).alias("__x"))
 
 
-def fit(x: np.ndarray, y: np.ndarray, settings: Settings = Settings()) -> tuple[float, list[Node]]:
-    """Logistic boosting on histograms: (prior margin, trees). One class only gives no trees."""
-    share = (y.sum() + 0.5) / (len(y) + 1.0)
+def fit(
+    x: np.ndarray, y: np.ndarray, settings: Settings = Settings(), weight: np.ndarray | None = None
+) -> tuple[float, list[Node]]:
+    """Logistic boosting on histograms: (prior margin, trees). One class only gives no trees.
+
+    ``y`` is the share of blocked among the ``weight`` rows that a row stands for.
+    """
+    weight = np.ones(len(y)) if weight is None else weight
+    share = ((weight * y).sum() + 0.5) / (weight.sum() + 1.0)
     prior = float(np.log(share / (1 - share)))
     if len(y) == 0 or y.min() == y.max():
         return prior, []
@@ -163,7 +169,7 @@ def fit(x: np.ndarray, y: np.ndarray, settings: Settings = Settings()) -> tuple[
 
     for _ in range(settings.rounds):
         p = 1 / (1 + np.exp(-margin))
-        gradient, curvature = p - y, p * (1 - p)
+        gradient, curvature = weight * (p - y), weight * p * (1 - p)
         trees.append(grow(np.arange(len(y)), settings.depth))
     return prior, trees
 
@@ -174,13 +180,18 @@ def train(
     """Learn from labelled URLs; rows without a verdict are left out.
 
     What is known of suffixes counts every labelled row, in a fixed number of buckets. The
-    trees are grown on the driver from at most ``settings.sample`` rows, by a hash of the url.
+    trees are grown on the driver from at most ``settings.sample`` different urls, chosen by
+    their hash and weighted with the rows they have.
     """
     rows = labelled.where(F.col(verdict).isin(ALLOW, BLOCK))
-    rows = with_features(rows, url, host, path).select(
-        (F.col(verdict) == BLOCK).cast("double").alias("y"), F.col(url).alias("url"), "__x"
+    blocks = F.sum((F.col(verdict) == BLOCK).cast("long"))
+    # The features follow from the url, so copies are counted before features are taken.
+    named = [F.col(url).alias("url"), F.col(host).alias("host"), F.col(path).alias("path")]
+    rows = rows.groupBy(*named).agg(blocks.alias("block"), F.count("*").alias("n"))
+    rows = written(with_features(rows, "url", "host", "path").select("url", "block", "n", "__x"), "labelled-urls")
+    totals = rows.groupBy(F.col("__x.suffix").alias("s")).agg(
+        F.sum("block").alias("block"), F.sum("n").alias("n"), F.count("*").alias("urls")
     )
-    totals = rows.groupBy(F.col("__x.suffix").alias("s")).agg(F.sum("y").alias("block"), F.count("*").alias("n"))
     known = totals.collect()  # at most SUFFIX_BUCKETS rows
     n = sum(r.n for r in known)
     rate = (sum(r.block for r in known) + 0.5) / (n + 1.0)
@@ -188,10 +199,12 @@ def train(
         r.s: ((r.block + SMOOTHING * rate) / (r.n + SMOOTHING), float(np.log1p(r.n))) for r in known
     }
     unknown = (rate, 0.0)
-    seen = hashed_sample(rows, "url", settings.sample, n).select("y", "__x.*").toPandas()
+    different = sum(r.urls for r in known)
+    seen = hashed_sample(rows, "url", settings.sample, different).select("block", "n", "__x.*").toPandas()
     of_suffix = np.array([suffixes[s] for s in seen["suffix"]]).reshape(-1, 2)
     x = np.column_stack([seen[FEATURES[:-2]].to_numpy(float), of_suffix])
-    prior, trees = fit(x, seen["y"].to_numpy(float), settings)
+    weight = seen["n"].to_numpy(float)
+    prior, trees = fit(x, seen["block"].to_numpy(float) / weight, settings, weight)
     return Model(prior, trees, suffixes, unknown)
 
 
