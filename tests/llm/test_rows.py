@@ -49,6 +49,23 @@ def test_long_dialogues_lose_no_turn(spark):
         assert sum(r.n_turns for r in own) == 900
 
 
+def test_dialogues_are_whole_or_cut_by_position(spark):
+    schema = "conv_id long, turn long, role string, text string"
+    rows = [(1, i, f"s{i % 2}", f"t{i}") for i in range(70)] + [(2, i, f"s{i % 2}", f"t{i}") for i in range(60, 71)]
+    rows += [(3, i, "ann", f"t{i}") for i in (0, 100, 200)] + [(4, None, "ann", f"t{i}") for i in range(600)]
+    got = chat.rotated(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.conv_id, r.n_turns) for r in got) == [(1, 70), (1, 70), (2, 11), (2, 11), (3, 3), (4, 600)]
+    rows = [(None, 0, "system", "rules")] + [(None, 1 + i // 700, f"s{i % 2}", f"text {i:04}" + "x" * 30) for i in range(1000)]
+    got = chat.rotated(spark.createDataFrame(rows, schema)).where("perspective = 's1'").orderBy("window").collect()
+    rows = sorted(rows, key=lambda r: r[1:])
+    assert [r.window for r in got] == list(range(16)) and sum(r.n_turns for r in got) == 1001
+    for r in got:
+        low, high = 64 * r.window, 64 * r.window + 64
+        shown = ([rows[0]] if low else []) + rows[max(low - 16, 0) : high]
+        assert [x.split("\n")[1] for x in r.text.split("<|im_start|>")[1:]] == [f"{t[3]}<|im_end|>" for t in shown]
+        assert [r.text[a:b] for a, b in r.mask] == [f"{t[3]}<|im_end|>" for t in rows[low:high] if t[2] == "s1"]
+
+
 def test_no_turns(spark):
     assert chat.rotated(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 

@@ -7,18 +7,24 @@ the character spans to learn from: what the assistant says, with its end mark.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from venuelens.llm.tables import written
+
 # The marks of the rendered format.
 START, END = "<|im_start|>", "<|im_end|>"
 SYSTEM = "system"
 # A speaker that is not named.
 UNNAMED = "unknown"
-# Turns in one rendered text: longer dialogues are rendered in consecutive windows.
+# Bytes up to which a dialogue is rendered whole, with marks and names.
+WHOLE = 32_768
+# New turns in each of the windows in which a larger dialogue is rendered.
 WINDOW = 64
-# Rows beyond this many in a window (turn numbers that repeat) are rendered in further parts.
+# Turns that a window has at most, whatever ``window`` is given.
 PART = 512
+# Turns before a window that are shown in it again.
+BEFORE = 16
 
 
 def _plain(text: Column) -> Column:
@@ -36,25 +42,32 @@ def rotated(
     values of ``speaker`` other than 'system', null counting as 'unknown'; a dialogue
     of system turns only has no perspective and no rendering. Turns are ordered by number, then
     speaker, then text, null numbers first; equal rows are rendered once. A null
-    text is an empty turn, and a null dialogue id is a dialogue of its own. A window
-    with more than ``part`` rows is dealt over parts by a hash of its rows, so that no
-    dialogue, however long, meets in one task.
+    text is an empty turn, and a null dialogue id is a dialogue of its own.
+
+    A dialogue of up to ``WHOLE`` bytes is one text. A larger one is cut by position into windows
+    of ``window`` turns, at most ``part``, so that no dialogue meets in one task. Before its own
+    turns a further window shows the dialogue's first ``window`` system turns and the ``BEFORE``
+    turns that precede it; n_turns and the mask leave these out. The column part is 0.
     """
+    step = min(window, part)
     said = turns.select(
         F.col(conv).alias("conv_id"),
         F.col(turn).cast("long").alias("turn"),
         F.coalesce(F.col(speaker), F.lit(UNNAMED)).alias("speaker"),
         _plain(F.col(text)).alias("said"),
     ).distinct()
-    said = said.withColumn("window", F.coalesce(F.floor(F.col("turn") / window), F.lit(0)))
-    same = F.col("w.conv_id").eqNullSafe(F.col("s.conv_id"))
-    sizes = said.groupBy("conv_id", "window").agg(F.count("*").alias("rows"))
-    crowded = sizes.where(F.col("rows") > part)
-    parts = said.alias("s").join(crowded.alias("w"), same & F.col("w.window").eqNullSafe(F.col("s.window")), "left")
-    mixed = F.pmod(F.xxhash64("turn", "speaker", "said"), F.ceil(F.col("rows") / part))
-    parts = parts.select("s.*", F.coalesce(F.when(F.col("rows").isNull(), 0).otherwise(mixed), F.lit(0)).alias("part"))
-    heard = F.sort_array(F.collect_list(F.struct("turn", "speaker", "said")))
-    windows = parts.groupBy("conv_id", "window", "part").agg(heard.alias("turns"))
+    marks = len(f"{START}user name=\n{END}\n")
+    size = F.octet_length("said") + F.octet_length(_plain(F.col("speaker"))) + marks
+    said = written(said.withColumn("bytes", size.cast("long")), "said")
+    large = said.groupBy("conv_id").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > WHOLE)
+    same = F.col("s.conv_id").eqNullSafe(F.col("l.conv_id"))
+    of = said.alias("s"), large.select("conv_id").alias("l")
+    small = of[0].join(of[1], same, "left_anti").select(
+        "s.*", F.lit(0).cast("long").alias("window"), F.lit(False).alias("again")
+    )
+    shown = small.unionByName(_cut(of[0].join(of[1], same, "left_semi").select("s.*"), step))
+    heard = F.sort_array(F.collect_list(F.struct("turn", "speaker", "said", "again")))
+    windows = shown.groupBy("conv_id", "window").agg(heard.alias("turns")).withColumn("part", F.lit(0).cast("long"))
 
     people = said.where(F.col("speaker") != SYSTEM).select("conv_id", F.col("speaker").alias("perspective")).distinct()
     same = F.col("w.conv_id").eqNullSafe(F.col("p.conv_id"))
@@ -68,7 +81,7 @@ def rotated(
             .otherwise(F.concat(F.lit(f"{START}user name="), _plain(t["speaker"]), F.lit("\n")))
         )
         body = F.concat(t["said"], F.lit(END))
-        return F.struct(own.alias("own"), F.length(head).alias("head"), F.length(body).alias("body"),
+        return F.struct((own & ~t["again"]).alias("own"), t["again"].alias("again"), F.length(head).alias("head"), F.length(body).alias("body"),
                         F.concat(head, body, F.lit("\n")).alias("text"))
 
     begun = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("mask"))
@@ -83,12 +96,44 @@ def rotated(
     whole = parted.withColumn("mask", F.aggregate("segments", begun, further)["mask"])
     learned = F.aggregate("mask", F.lit(0).cast("long"), lambda n, m: n + m["stop"] - m["start"])
     return whole.select(
-        "conv_id", "perspective", "window", "part", F.size("segments").cast("long").alias("n_turns"),
+        "conv_id", "perspective", "window", "part", F.size(F.filter("segments", lambda s: ~s["again"])).cast("long").alias("n_turns"),
         learned.alias("n_learned"),
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("text"), "mask",
     )
 
 
+def _cut(said: DataFrame, step: int) -> DataFrame:
+    """Turns with the window they are new in, and again (``again``) with those that show them once more.
+
+    Places are running counts: rows are dealt into ordered ranges, counted in each, and the
+    counts of the ranges before are added.
+    """
+    pieces = int(said.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["turn", "speaker", "said"]
+    dealt = said.repartitionByRange(pieces, "conv_id", *order).withColumn("piece", F.spark_partition_id())
+    dealt = written(dealt.withColumn("rule", (F.col("speaker") == SYSTEM).cast("long")), "ranges")
+    counts = dealt.groupBy("conv_id", "piece").agg(F.count("*").alias("rows"), F.sum("rule").alias("rules"))
+    # One row for each range of a dialogue.
+    earlier = Window.partitionBy("conv_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(
+        F.col("conv_id").alias("c"), F.col("piece").alias("p"),
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("rules").over(earlier), F.lit(0)).alias("rules_before"),
+        F.sum("rows").over(Window.partitionBy("conv_id")).alias("total"),
+    )
+    inside = Window.partitionBy("conv_id", "piece").orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = dealt.withColumn("at", F.row_number().over(inside) - 1).withColumn("nth", F.sum("rule").over(upto))
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("piece") == F.col("p"))
+    placed = placed.join(counts, same).withColumn("at", F.col("at") + F.col("rows_before"))
+    own, last = F.floor(F.col("at") / step), F.floor((F.col("total") - 1) / step)
+    carried = (F.col("rule") == 1) & (F.col("nth") + F.col("rules_before") <= step)
+    # A turn near its window's end is shown in those that begin within ``BEFORE`` turns.
+    until = F.least(last, F.when(carried, last).otherwise(F.floor((F.col("at") + BEFORE) / step)))
+    shown = placed.withColumn("own", own).withColumn("window", F.explode(F.sequence(own, until)))
+    return shown.select("conv_id", *order, "bytes", "window", (F.col("window") > F.col("own")).alias("again"))
+
+
 ORACLE = f"""
 WITH said AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, '{UNNAMED}') AS speaker,
