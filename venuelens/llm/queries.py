@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from venuelens.llm import (
-    chat, decontaminate, langid, mixture, sharding, simhash, tokens, toxicity, urls, vectors,
+    bpe, chat, codes, decontaminate, langid, mixture, sharding, simhash, tokens, toxicity, urls, vectors, whitening,
 )
 from venuelens.llm.tables import held_out, read
 
@@ -23,7 +23,7 @@ RULES = (
 )
 TOXIC_FOLD, LANG_FOLD = (5, 0), (4, 2)
 TOKEN_LIMIT = 2048
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 LEVELS = ("domain", "lang", "source")
 WEIGHTS = {
     "domain": {"web": 0.6, "books": 0.4},
@@ -32,10 +32,10 @@ WEIGHTS = {
 MIX = mixture.Mix(LEVELS, WEIGHTS, share=1.0, epochs=4)
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
@@ -97,6 +97,26 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixed(docs, MIX)
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    source = bpe.load(tokenizer_path(BYTE_TOKENIZER))
+    rows = docs.select("doc_id", bpe.encoded(docs, source).alias("ids"))
+    rows = rows.select("doc_id", "ids", bpe.decoded(docs, source, F.col("ids")).alias("decoded"))
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(*codes.compressed(read(spark, sf_dir, "embeddings")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -114,6 +134,9 @@ QUERIES: dict[str, Query] = {
     "op8_urls": op8_urls,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixture": op10_mixture,
+    "op11_bpe": op11_bpe,
+    "op12_codes": op12_codes,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 
@@ -173,4 +196,4 @@ WITH counted AS (
 SELECT doc_id, domain, lang, source, tokens, CAST(unnest(range(n)) AS BIGINT) AS epoch FROM taken WHERE n > 0
 """
 
-ORACLES: dict[str, str] = {"op6_chat": chat.ORACLE, "op10_mixture": MIXTURE_SQL}
+ORACLES: dict[str, str] = {"op6_chat": chat.ORACLE, "op10_mixture": MIXTURE_SQL, "op12_codes": codes.oracle()}

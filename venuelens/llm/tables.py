@@ -43,3 +43,16 @@ def hashed_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """True for the rows of one fold by crc32 of the id as text. A null id is never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(True))
+
+
+def finite(vector: Column) -> Column:
+    """True for vectors that are not null and hold no null, NaN or infinite component."""
+    good = F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    return F.coalesce(good, F.lit(False))
+
+
+def commonest_length(df: DataFrame, vector: str) -> int:
+    """The length that most vectors of a column have, the longer on a tie; 0 without rows."""
+    counts = df.groupBy(F.size(vector).alias("length")).count()
+    first = counts.orderBy(F.desc("count"), F.desc("length")).limit(1).first()
+    return first["length"] if first else 0
