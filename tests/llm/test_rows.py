@@ -40,7 +40,7 @@ def test_every_speaker_is_assistant_once(spark):
 
 def test_long_dialogues_lose_no_turn(spark):
     rows = [(1, i // 3, f"s{i % 3}", f"text {i}") for i in range(900)]
-    got = chat.rotated(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), window=50, part=40)
+    got = chat.rotated(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), window=40)
     for who in ("s0", "s1", "s2"):
         own = [r for r in got.collect() if r.perspective == who]
         assert len(own) > 6 and max(r.n_turns for r in own) < 150
@@ -49,12 +49,12 @@ def test_long_dialogues_lose_no_turn(spark):
         assert sum(r.n_turns for r in own) == 900
 
 
-def test_dialogues_are_whole_or_cut_by_position(spark):
+def test_dialogues_are_cut_by_position(spark):
     schema = "conv_id long, turn long, role string, text string"
-    rows = [(1, i, f"s{i % 2}", f"t{i}") for i in range(70)] + [(2, i, f"s{i % 2}", f"t{i}") for i in range(60, 71)]
-    rows += [(3, i, "ann", f"t{i}") for i in (0, 100, 200)] + [(4, None, "ann", f"t{i}") for i in range(600)]
+    rows = [(1, i, f"s{i % 2}", f"t{i}") for i in range(64)] + [(2, i, f"s{i % 2}", f"t{i}") for i in range(60, 71)]
+    rows += [(3, i, "ann", f"t{i}") for i in (0, 100, 200)] + [(4, None, "ann", f"t{i}") for i in range(65)]
     got = chat.rotated(spark.createDataFrame(rows, schema)).collect()
-    assert sorted((r.conv_id, r.n_turns) for r in got) == [(1, 70), (1, 70), (2, 11), (2, 11), (3, 3), (4, 600)]
+    assert sorted((r.conv_id, r.n_turns) for r in got) == [(1, 64), (1, 64), (2, 11), (2, 11), (3, 3), (4, 1), (4, 64)]
     rows = [(None, 0, "system", "rules")] + [(None, 1 + i // 700, f"s{i % 2}", f"text {i:04}" + "x" * 30) for i in range(1000)]
     got = chat.rotated(spark.createDataFrame(rows, schema)).where("perspective = 's1'").orderBy("window").collect()
     rows = sorted(rows, key=lambda r: r[1:])
@@ -66,6 +66,19 @@ def test_dialogues_are_whole_or_cut_by_position(spark):
         assert [r.text[a:b] for a, b in r.mask] == [f"{t[3]}<|im_end|>" for t in rows[low:high] if t[2] == "s1"]
 
 
+def test_long_dialogues_and_turns_equal_sql(spark, tmp_path):
+    schema = "conv_id long, turn long, role string, text string, x string, speaker string, said string"
+    rows = [(1, i, f"s{i % 2}", f"t{i}") for i in range(65)] + [(2, i // 2, "system" if i % 3 == 0 else f"s{i % 2}", f"t{i} <|") for i in range(300)]
+    rows += [(3, i, f"s{i % 3}", "word " * 3000) for i in range(8)] + [(4, 0, "ann", "x" * 200_000), (4, 1, None, None), (4, 1, None, None)]
+    rows += [(5, i % 40, "ann", "same") for i in range(80)] + [(None, i, "bob", str(i)) for i in range(70)]
+    turns = spark.createDataFrame([(*r, "own", "own", "own") for r in rows], schema)
+    turns.coalesce(1).write.parquet(f"{tmp_path}/t")
+    (part,) = tmp_path.glob("t/*.parquet")
+    part.rename(tmp_path / "conversations.parquet")
+    actual = spark_result(chat.digest(chat.rotated(turns)))
+    assert difference(actual, oracle_result(connect(tmp_path), chat.ORACLE)) is None
+
+
 def test_no_turns(spark):
     assert chat.rotated(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
@@ -109,8 +122,31 @@ def test_awkward_urls(spark):
     assert urls.judged(pages.where("page_id < 3"), queries.RULES).where("verdict = 'allow'").count() == 6
 
 
-def test_trees_learn_and_equal_their_sql(spark):
-    """Held-out accuracy on urls that the trees see without the rules."""
+def walked(node, row):
+    while node.feature >= 0:
+        node = node.left if row[node.feature] <= node.cut else node.right
+    return node.value
+
+
+def test_trees_equal_their_sql(spark):
+    """The margin of every row, walked in Python, against the expression that runs on Spark."""
+    random_ = np.random.default_rng(3)
+    x = random_.normal(size=(400, len(urls.FEATURES)))
+    y = ((x[:, 0] > 0.2) ^ (x[:, 5] > 0)).astype(float)
+    prior, trees = urls.fit(x, y)
+    margins = [prior + sum(walked(t, row) for t in trees) for row in x]
+    assert len(trees) == urls.Settings().rounds and np.mean((np.array(margins) > 0) == (y > 0)) > 0.9
+    rows = spark.createDataFrame([(i, *row) for i, row in enumerate(x.tolist())], ["i", *urls.FEATURES])
+    margin = " + ".join([f"{prior!r}D", *map(urls._expression, trees)])
+    got = [r.m for r in rows.select("i", F.expr(margin).alias("m")).orderBy("i").collect()]
+    assert np.allclose(got, margins, rtol=0, atol=1e-9)
+
+
+def test_trees_tell_held_out_urls(spark):
+    """Held-out urls that the rules decide are told better than by the larger class.
+
+    A suffix that the rules give one verdict does not count: with it, this share was 77 %, as the suffix was the label.
+    """
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
     hosted = pages.withColumn("host", urls.host_of(F.col("url"))).withColumn("path", urls.path_of(F.col("url")))
     rule = urls.rule_of(F.col("host"), F.col("path"), queries.RULES)
@@ -118,7 +154,20 @@ def test_trees_learn_and_equal_their_sql(spark):
     held = F.crc32(F.col("page_id").cast("string")) % 5 == 0
     model = urls.train(ruled.where(~held).select("url", "host", "path", "verdict"), "url", "host", "path", "verdict")
     rated = urls.scored(ruled.where(held), model, "url", "host", "path", "score").collect()
-    assert np.mean([(r.score > 0.5) == (r.verdict == "block") for r in rated]) > 0.7
+    blocked = np.mean([r.verdict == "block" for r in rated])
+    assert np.mean([(r.score > 0.5) == (r.verdict == "block") for r in rated]) > max(blocked, 1 - blocked) + 0.03
+
+
+def test_a_suffix_of_one_verdict_decides_nothing(spark):
+    """All ruled .com pages are blocked, but what tells is the length: .com pages without a rule are judged by it."""
+    long = "x" * 60
+    made = [(f"http://h{i}.net/{long}{i}" if i % 2 else f"http://a.example.net/en/{i}") for i in range(400)]
+    made += [f"http://example.com/de/{long}{i}" for i in range(200)] + [f"http://h{i}.org/fr/{i}" for i in range(200)]
+    open_ = [f"http://h{i}.com/{long if i % 2 else 'y'}/{i}" for i in range(100)]
+    pages = spark.createDataFrame(list(enumerate(made + open_)), "page_id long, url string")
+    got = urls.judged(pages, queries.RULES).where("rule is null").collect()
+    assert len(got) == 100 and all((r.verdict == "block") == (len(r.url) > 60) for r in got)
+    assert urls.known_suffixes([(1, 0, 4), (1, 2, 2), (2, 5, 5), (3, 0, 9)], 0.5) == {1: ((2 + 2.5) / 11, float(np.log1p(6)))}
 
 
 def test_trees_of_few_urls_with_many_rows(spark):

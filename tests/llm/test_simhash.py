@@ -93,8 +93,8 @@ def test_awkward_rows(spark):
     assert values(got.select("doc_id", simhash.hex16(got.fp).alias("f"), "component_id"), "doc_id", "f", "component_id") == expected(rows)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    # 2 copies 1; 4 and 5 are blank like 3; rows without an id stay.
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 3, 6, 7, 8, 9, None, None], key=repr)
+    # 2 copies 1; 4, 5 and a row without an id are blank like 3; the other row without one has a text of its own.
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 3, 6, 7, 8, 9, None], key=repr)
 
 
 def test_empty_table(spark):
@@ -106,3 +106,10 @@ def test_empty_table(spark):
 def test_long_text_equals_plain():
     text = " ".join(f"w{i % 977}x{i}" for i in range(70_000))
     assert simhash.fingerprint(text.encode()) & ((1 << 64) - 1) == plain_fingerprint(text)
+
+
+def test_one_row_of_a_group_stays_whatever_its_ids(spark):
+    text = "one two three four five six"
+    rows = [(1, text), (1, text.upper()), (1, text), (None, text), (None, "other words stand here alone"), (None, "other words stand here alone"), (2, text)]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 2 and sorted([r.doc_id for r in got], key=repr) == [1, None]

@@ -17,12 +17,8 @@ START, END = "<|im_start|>", "<|im_end|>"
 SYSTEM = "system"
 # A speaker that is not named.
 UNNAMED = "unknown"
-# Bytes up to which a dialogue is rendered whole, with marks and names.
-WHOLE = 32_768
-# New turns in each of the windows in which a larger dialogue is rendered.
+# New turns in each of the windows in which a dialogue is rendered.
 WINDOW = 64
-# Turns that a window has at most, whatever ``window`` is given.
-PART = 512
 # Turns before a window that are shown in it again.
 BEFORE = 16
 
@@ -34,7 +30,7 @@ def _plain(text: Column) -> Column:
 
 def rotated(
     turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker: str = "role", text: str = "text",
-    window: int = WINDOW, part: int = PART,
+    window: int = WINDOW,
 ) -> DataFrame:
     """(conv_id, perspective, window, part, n_turns, n_learned, text, mask): the dialogues as texts.
 
@@ -44,28 +40,27 @@ def rotated(
     speaker, then text, null numbers first; equal rows are rendered once. A null
     text is an empty turn, and a null dialogue id is a dialogue of its own.
 
-    A dialogue of up to ``WHOLE`` bytes is one text. A larger one is cut by position into windows
-    of ``window`` turns, at most ``part``, so that no dialogue meets in one task. Before its own
+    A dialogue is cut by position into windows of ``window`` turns, so that none meets in one task
+    however many turns it has; one of up to ``window`` turns is one text. Before its own
     turns a further window shows the dialogue's first ``window`` system turns and the ``BEFORE``
-    turns that precede it; n_turns and the mask leave these out. The column part is 0.
+    turns that precede it; n_turns and the mask leave these out. Turns are whole, however
+    long. The column part is 0.
     """
-    step = min(window, part)
     said = turns.select(
         F.col(conv).alias("conv_id"),
         F.col(turn).cast("long").alias("turn"),
         F.coalesce(F.col(speaker), F.lit(UNNAMED)).alias("speaker"),
         _plain(F.col(text)).alias("said"),
     ).distinct()
-    marks = len(f"{START}user name=\n{END}\n")
-    size = F.octet_length("said") + F.octet_length(_plain(F.col("speaker"))) + marks
-    said = written(said.withColumn("bytes", size.cast("long")), "said")
-    large = said.groupBy("conv_id").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > WHOLE)
+    said = written(said, "said")
+    # The others are one window, and need not be counted through.
+    large = said.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > window)
     same = F.col("s.conv_id").eqNullSafe(F.col("l.conv_id"))
     of = said.alias("s"), large.select("conv_id").alias("l")
     small = of[0].join(of[1], same, "left_anti").select(
         "s.*", F.lit(0).cast("long").alias("window"), F.lit(False).alias("again")
     )
-    shown = small.unionByName(_cut(of[0].join(of[1], same, "left_semi").select("s.*"), step))
+    shown = small.unionByName(_cut(of[0].join(of[1], same, "left_semi").select("s.*"), window))
     heard = F.sort_array(F.collect_list(F.struct("turn", "speaker", "said", "again")))
     windows = shown.groupBy("conv_id", "window").agg(heard.alias("turns")).withColumn("part", F.lit(0).cast("long"))
 
@@ -131,7 +126,7 @@ def _cut(said: DataFrame, step: int) -> DataFrame:
     # A turn near its window's end is shown in those that begin within ``BEFORE`` turns.
     until = F.least(last, F.when(carried, last).otherwise(F.floor((F.col("at") + BEFORE) / step)))
     shown = placed.withColumn("own", own).withColumn("window", F.explode(F.sequence(own, until)))
-    return shown.select("conv_id", *order, "bytes", "window", (F.col("window") > F.col("own")).alias("again"))
+    return shown.select("conv_id", *order, "window", (F.col("window") > F.col("own")).alias("again"))
 
 
 ORACLE = f"""
@@ -141,22 +136,33 @@ WITH said AS (
   FROM conversations
 ), people AS (
   SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> '{SYSTEM}'
+), counted AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, said) - 1 AS num,
+         sum(CASE WHEN speaker = '{SYSTEM}' THEN 1 ELSE 0 END) OVER (
+           PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, said ROWS UNBOUNDED PRECEDING) AS nth,
+         (count(*) OVER (PARTITION BY conv_id) - 1) // {WINDOW} AS last
+  FROM said
+), shown AS (
+  SELECT conv_id, turn, speaker, said, num // {WINDOW} AS own_window,
+         CAST(unnest(range(num // {WINDOW}, least(last,
+           CASE WHEN speaker = '{SYSTEM}' AND nth <= {WINDOW} THEN last ELSE (num + {BEFORE}) // {WINDOW} END) + 1)) AS BIGINT) AS "window"
+  FROM counted
 ), parts AS (
-  SELECT s.conv_id, p.perspective, s.turn, s.speaker, s.said,
-         CAST(coalesce(floor(s.turn / {WINDOW}.0), 0) AS BIGINT) AS "window",
-         s.speaker = p.perspective AS own,
+  SELECT s.conv_id, p.perspective, s.turn, s.speaker, s.said, s."window",
+         "window" > own_window AS again,
+         s.speaker = p.perspective AND "window" = own_window AS own,
          CASE WHEN s.speaker = p.perspective THEN '{START}assistant' || chr(10)
               WHEN s.speaker = '{SYSTEM}' THEN '{START}system' || chr(10)
               ELSE '{START}user name=' || replace(s.speaker, '<|', '< |') || chr(10) END AS head,
          s.said || '{END}' AS body
-  FROM said s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id
+  FROM shown s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id
 ), placed AS (
   SELECT *, CAST(sum(length(head) + length(body) + 1) OVER (
            PARTITION BY conv_id, perspective, "window" ORDER BY turn NULLS FIRST, speaker, said
          ) AS BIGINT) - length(body) - 1 AS start
   FROM parts
 )
-SELECT conv_id, perspective, "window", CAST(0 AS BIGINT) AS part, count(*) AS n_turns,
+SELECT conv_id, perspective, "window", CAST(0 AS BIGINT) AS part, count(*) FILTER (WHERE NOT again) AS n_turns,
        CAST(coalesce(sum(length(body)) FILTER (WHERE own), 0) AS BIGINT) AS n_learned,
        string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, speaker, said) AS text,
        coalesce(string_agg(start || ':' || (start + length(body)), ',' ORDER BY start) FILTER (WHERE own), '') AS mask

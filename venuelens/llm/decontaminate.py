@@ -19,6 +19,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuelens.llm.tables import shared
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORD = re.compile(r"[^\W_]+")
@@ -169,11 +171,11 @@ def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", s
 
 def matches(docs: DataFrame, block: list[tuple], text: str = "text", share: float = SHARE) -> Column:
     """An array column with the items of a block that occur in each text; null texts have none."""
-    shared = docs.sparkSession.sparkContext.broadcast(items(block, share))
+    sent = shared(docs.sparkSession, items(block, share))
 
     @F.pandas_udf(MATCHES)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        finder = Finder(shared.value)
+        finder = Finder(cloudpickle.loads(sent.value))
         for texts in batches:
             yield pd.Series([finder.find(x) for x in texts], dtype=object)
 

@@ -20,6 +20,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuelens.llm.tables import shared
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 UNKNOWN = "und"
@@ -192,13 +194,12 @@ def train(
 
 def predicted(docs: DataFrame, model: Model, text: str = "text") -> Column:
     """A struct column (lang_pred, score, accepted) for a text column of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
 
     @F.pandas_udf(RESULT)
     def computed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = cloudpickle.loads(sent.value)
         for texts in batches:
-            yield pd.DataFrame(
-                [predict(shared.value, x) for x in texts], columns=["lang_pred", "score", "accepted"]
-            )
+            yield pd.DataFrame([predict(model, x) for x in texts], columns=["lang_pred", "score", "accepted"])
 
     return computed(F.col(text))

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuelens.llm.components import components
@@ -86,9 +86,10 @@ def links(fps: DataFrame) -> DataFrame:
     Every linked pair of a variant group of up to ``PAIRED`` fingerprints is returned. Larger
     groups are connected through neighbours, of which a key has at most 65.
     """
-    group = Window.partitionBy("key")
-    shared = variants(fps).withColumn("n", F.count("*").over(group)).where("n > 1")
-    shared = written(shared, "variants")
+    spread = variants(fps)
+    # Counted in a partial aggregate and joined back, so that a variant of very many fingerprints is split over tasks.
+    repeated = written(spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
+    shared = written(spread.join(repeated, "key"), "variants")
     few = shared.where(F.col("n") <= PAIRED)
     left = few.select("key", F.col("fp").alias("a"))
     right = few.select("key", F.col("fp").alias("b"))
@@ -117,11 +118,19 @@ def through_neighbours(fps: DataFrame) -> DataFrame:
     """
     near = F.expr("transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i))")
     spread = fps.select("fp", F.explode(F.concat(F.array("fp"), near)).alias("neighbour"))
-    least = F.min("fp").over(Window.partitionBy("neighbour"))
-    tied = spread.select(F.col("fp").alias("a"), least.alias("b"))
+    spread = written(spread, "neighbours")
+    least = spread.groupBy("neighbour").agg(F.min("fp").alias("b"))
+    tied = spread.join(least, "neighbour").select(F.col("fp").alias("a"), "b")
     return tied.where("a != b").distinct()
 
 
+def groups(fps: DataFrame) -> DataFrame:
+    """(fp, root): the smallest fingerprint that links reach from each of the distinct ``fp``."""
+    joined = written(components(links(fps)), "components")
+    rooted = fps.join(joined, fps.fp == joined.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return written(rooted, "rooted")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``.
 
@@ -133,23 +142,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     marked = docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text)).alias("fp"))
     marked = written(marked, "fingerprints")
     nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    joined = written(components(links(nodes.select("fp"))), "components")
-    rooted = nodes.join(joined, nodes.fp == joined.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = written(rooted, "rooted")
+    rooted = nodes.join(groups(nodes.select("fp")), "fp")
     named = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
     labels = written(rooted.join(named, "root").select("fp", "component_id"), "labels")
     return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their group: those with the group's smallest id.
+    """One row of ``docs`` of each group that links connect, all columns as they are.
 
-    Rows repeated with the same id and text stay once. Rows without an id cannot be named as
-    another's copy and stay.
+    It is the row with the smallest id, of these the one with the lowest hash of its text; rows without an
+    id come last. Null and blank texts are one group; very long texts count whole. Rows repeated with the
+    same id and text stay once.
     """
-    groups = near_duplicates(docs, doc_id, text)
-    standing = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(standing, docs[doc_id] == standing.doc_id, "left_semi")
-    return kept.dropDuplicates([doc_id, text]).unionByName(docs.where(F.col(doc_id).isNull()))
+    digest = F.xxhash64(F.col(text))
+    marked = docs.select(F.col(doc_id).alias("id"), digest.alias("hash"), fingerprints(F.col(text)).alias("fp"))
+    marked = written(marked, "fingerprints")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "hash")
+    firsts = written(marked.groupBy("fp").agg(F.min(order).alias("first")), "nodes")
+    standing = firsts.join(groups(firsts.select("fp")), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    standing = written(standing.select("first.id", "first.hash"), "standing")
+    same = F.col("m.id").eqNullSafe(F.col("s.id")) & (F.col("m.hash") == F.col("s.hash"))
+    rows = marked.alias("m").join(standing.alias("s"), same, "left_semi").groupBy("id", "hash").count()
+    rows = written(rows, "standing-rows")
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).alias("id"), digest.alias("hash")).alias("m")
+    one = named.join(rows.where("count = 1").alias("s"), same, "left_semi")
+    repeated = named.join(rows.where("count > 1").alias("s"), same, "left_semi").dropDuplicates(["id", "hash"])
+    return one.unionByName(repeated).select("row.*")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +57,8 @@ def commonest_length(df: DataFrame, vector: str) -> int:
     counts = df.groupBy(F.size(vector).alias("length")).count()
     first = counts.orderBy(F.desc("count"), F.desc("length")).limit(1).first()
     return first["length"] if first else 0
+
+
+def shared(spark: SparkSession, value: object) -> Broadcast[bytes]:
+    """A broadcast of ``value`` with its class, for ``cloudpickle.loads``: executors need not have this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -20,14 +20,16 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuelens.llm.tables import shared
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Texts of these characters only are split here; others by the library's own splitter, whose
 # Unicode tables may be of another version.
 LAST_LATIN = 0x24F
 LATIN = re.compile(r"[\t-\r -~\u00a0-\u024f]*")
-# Counts kept for pre-tokens that need merges.
-MEMORY = 200_000
+# Bytes of pre-tokens that need merges, with their counts, that a task keeps.
+MEMORY = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -105,6 +107,17 @@ class Counter:
         self.letters = _byte_letters()
         self.whole = dict.fromkeys(vocabulary.whole, 1)
         self.counts = dict(self.whole)
+        self.held = 0
+
+    def kept(self, word: str) -> int:
+        """Tokens of a pre-token that is not whole, kept while the memory lasts."""
+        size, n = 150 + 4 * len(word), self.merged(word)
+        if self.held + size > MEMORY:
+            self.counts, self.held = dict(self.whole), 0
+        if size <= MEMORY:
+            self.counts[word] = n
+            self.held += size
+        return n
 
     def merged(self, word: str) -> int:
         """Tokens of a pre-token that is not whole."""
@@ -135,9 +148,7 @@ class Counter:
                         word = words[at]
                         n = self.counts.get(word)
                         if n is None:
-                            if len(self.counts) > len(self.whole) + MEMORY:
-                                self.counts = dict(self.whole)
-                            n = self.counts[word] = self.merged(word)
+                            n = self.kept(word)
                         got[at] = n
             total += sum(got)
         return total
@@ -145,11 +156,11 @@ class Counter:
 
 def counted(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Column:
     """A column expression with the tokens of each text of ``docs``; null has none."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    sent = shared(docs.sparkSession, vocabulary)
 
     @F.pandas_udf("long")
     def computed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = Counter(shared.value)
+        counter = Counter(cloudpickle.loads(sent.value))
         for texts in batches:
             yield pd.Series([counter.count(x) for x in texts], dtype="int64")
 

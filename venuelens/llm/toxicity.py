@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuelens.llm.tables import written
+from venuelens.llm.tables import shared, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -275,12 +275,13 @@ def _ratio(toxic: Column, all_: Column, positive: float, n: float) -> Column:
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
     """A column expression for the scores of a text column of ``docs``; null scores as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = cloudpickle.loads(sent.value)
         for texts in batches:
-            yield pd.Series(predict(shared.value, map(terms, texts)), dtype="float64")
+            yield pd.Series(predict(model, map(terms, texts)), dtype="float64")
 
     return scored(F.col(text))
 

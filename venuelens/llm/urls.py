@@ -22,6 +22,8 @@ ALLOW, BLOCK = "allow", "block"
 SUFFIX_BUCKETS = 1024
 # Labelled rows a suffix's block rate is smoothed with.
 SMOOTHING = 5.0
+# Parts of the labelled urls; what a url knows of its suffix comes from the other parts.
+FOLDS = 5
 FEATURES = [
     "url_length", "host_length", "path_length", "depth", "host_labels", "hyphens", "digit_ratio", "entropy",
     "parameters", "suffix_rate", "suffix_rows",
@@ -174,12 +176,26 @@ def fit(
     return prior, trees
 
 
+def known_suffixes(counts: Sequence[tuple[int, int, int]], rate: float) -> dict[int, tuple[float, float]]:
+    """{bucket: (block rate, log of rows)} from (bucket, blocked, rows), of buckets with rows of both verdicts."""
+    totals: dict[int, tuple[int, int]] = {}
+    for s, block, n in counts:
+        held = totals.get(s, (0, 0))
+        totals[s] = held[0] + block, held[1] + n
+    return {
+        s: ((block + SMOOTHING * rate) / (n + SMOOTHING), float(np.log1p(n)))
+        for s, (block, n) in totals.items() if 0 < block < n
+    }
+
+
 def train(
     labelled: DataFrame, url: str, host: str, path: str, verdict: str, settings: Settings = Settings()
 ) -> Model:
     """Learn from labelled URLs; rows without a verdict are left out.
 
-    What is known of suffixes counts every labelled row, in a fixed number of buckets. The
+    What is known of suffixes counts every labelled row, in a fixed number of buckets, and for the
+    urls learned from every row of other folds, so that no url sees its own label. A suffix
+    with rows of one verdict only says no more than that the rules name it: it counts as unknown. The
     trees are grown on the driver from at most ``settings.sample`` different urls, chosen by
     their hash and weighted with the rows they have.
     """
@@ -189,19 +205,20 @@ def train(
     named = [F.col(url).alias("url"), F.col(host).alias("host"), F.col(path).alias("path")]
     rows = rows.groupBy(*named).agg(blocks.alias("block"), F.count("*").alias("n"))
     rows = written(with_features(rows, "url", "host", "path").select("url", "block", "n", "__x"), "labelled-urls")
-    totals = rows.groupBy(F.col("__x.suffix").alias("s")).agg(
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("url", F.lit(5)), F.lit(FOLDS)).cast("int"))
+    totals = rows.groupBy(F.col("__x.suffix").alias("s"), "fold").agg(
         F.sum("block").alias("block"), F.sum("n").alias("n"), F.count("*").alias("urls")
     )
-    known = totals.collect()  # at most SUFFIX_BUCKETS rows
-    n = sum(r.n for r in known)
-    rate = (sum(r.block for r in known) + 0.5) / (n + 1.0)
-    suffixes = {
-        r.s: ((r.block + SMOOTHING * rate) / (r.n + SMOOTHING), float(np.log1p(r.n))) for r in known
-    }
+    counts = totals.collect()  # at most FOLDS rows for each of SUFFIX_BUCKETS
+    n = sum(r.n for r in counts)
+    rate = (sum(r.block for r in counts) + 0.5) / (n + 1.0)
     unknown = (rate, 0.0)
-    different = sum(r.urls for r in known)
-    seen = hashed_sample(rows, "url", settings.sample, different).select("block", "n", "__x.*").toPandas()
-    of_suffix = np.array([suffixes[s] for s in seen["suffix"]]).reshape(-1, 2)
+    suffixes = known_suffixes([(r.s, r.block, r.n) for r in counts], rate)
+    of_others = [known_suffixes([(r.s, r.block, r.n) for r in counts if r.fold != f], rate) for f in range(FOLDS)]
+    different = sum(r.urls for r in counts)
+    seen = hashed_sample(rows, "url", settings.sample, different).select("block", "n", "fold", "__x.*").toPandas()
+    of_suffix = [of_others[f].get(s, unknown) for f, s in zip(seen["fold"], seen["suffix"], strict=True)]
+    of_suffix = np.array(of_suffix).reshape(-1, 2)
     x = np.column_stack([seen[FEATURES[:-2]].to_numpy(float), of_suffix])
     weight = seen["n"].to_numpy(float)
     prior, trees = fit(x, seen["block"].to_numpy(float) / weight, settings, weight)
