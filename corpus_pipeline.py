@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm import decontaminate, mixture, nearcopies, queries, sharding, toxicity
+from venuelens.llm import decontaminate, mixture, queries, sharding, simhash, toxicity
 from venuelens.llm.tables import read, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -26,8 +26,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; op4's two bits find hardly more than exact copies."""
-    return nearcopies.keep_one(docs)
+    """One document of each group whose fingerprints lie two or fewer bits apart."""
+    return simhash.keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
