@@ -31,10 +31,9 @@ def only_row(df: DataFrame) -> Column:
     return df.select(F.struct(*df.columns).alias("row")).scalar()
 
 
-def area_totals(fact: DataFrame) -> DataFrame:
-    """Mergeable totals per (city, locality): the one shuffle behind the headline
-    figures, after which distinct counts run over areas instead of venues."""
-    return fact.groupBy("city", "locality").agg(
+def mergeable() -> list[Column]:
+    """Totals of a group of venues that add up to those of any larger group."""
+    return [
         venue_count().alias("venues"),
         F.count("cost").alias("costed"),
         F.sum("cost").alias("cost"),
@@ -51,7 +50,18 @@ def area_totals(fact: DataFrame) -> DataFrame:
         F.count("votes").alias("voted"),
         F.sum("cuisine_count").alias("cuisine_count"),
         F.count("cuisine_count").alias("cuisine_counted"),
-    )
+    ]
+
+
+def area_totals(fact: DataFrame, *outer: str) -> DataFrame:
+    """Mergeable totals per (city, locality): the one shuffle behind the headline
+    figures, after which distinct counts run over areas instead of venues."""
+    return fact.groupBy(*outer, "city", "locality").agg(*mergeable())
+
+
+def ratio(amount: str, n: str) -> Column:
+    """Mean of a measure from its totals, null where nothing was counted."""
+    return F.try_divide(F.sum(amount), F.sum(n))
 
 
 def extremes(fact: DataFrame) -> DataFrame:
@@ -71,30 +81,38 @@ def cost_quantiles(fact: DataFrame) -> DataFrame:
     return quantiles(fact, "cost", {"median_cost": 0.5, "p90_cost": 0.9})
 
 
-def kpis(fact: DataFrame) -> DataFrame:
-    """The KPI strip as one row. No rows in context gives zero counts and nulls."""
-    venues = S.total(F.col("venues"))
+STRIP = [
+    "restaurants", "cities", "localities", "avg_cost", "cost.median_cost", "cost.p90_cost", "max_cost", "avg_rating",
+    "rated_n", "not_rated_n", "not_rated_pct", "delivery_pct", "booking_pct", "total_votes", "avg_votes", "cuisines",
+    "avg_cuisines", "credible_n", "named.top_name", "named.top_rating", "named.priciest_name",
+]
 
-    def mean(amount: str, n: str) -> Column:
-        return F.try_divide(F.sum(amount), F.sum(n))
 
-    headline = area_totals(fact).agg(
+def headline_columns() -> list[Column]:
+    """The figures of the KPI strip that follow from mergeable totals by area."""
+    venues = S.total(F.col("venues"))
+    return [
         venues.alias("restaurants"),
         F.count_distinct("city").alias("cities"),
         F.count_distinct("locality").alias("localities"),
-        mean("cost", "costed").alias("avg_cost"),
+        ratio("cost", "costed").alias("avg_cost"),
         F.max("max_cost").alias("max_cost"),
-        mean("rating", "ratings").alias("avg_rating"),
+        ratio("rating", "ratings").alias("avg_rating"),
         S.total(F.col("rated")).alias("rated_n"),
         (venues - S.total(F.col("rated"))).alias("not_rated_n"),
         C.percent(venues - S.total(F.col("rated")), venues).alias("not_rated_pct"),
-        (mean("delivery", "delivery_known") * 100).alias("delivery_pct"),
-        (mean("booking", "booking_known") * 100).alias("booking_pct"),
+        (ratio("delivery", "delivery_known") * 100).alias("delivery_pct"),
+        (ratio("booking", "booking_known") * 100).alias("booking_pct"),
         S.total(F.col("votes")).alias("total_votes"),
-        mean("votes", "voted").alias("avg_votes"),
-        mean("cuisine_count", "cuisine_counted").alias("avg_cuisines"),
+        ratio("votes", "voted").alias("avg_votes"),
+        ratio("cuisine_count", "cuisine_counted").alias("avg_cuisines"),
         S.total(F.col("credible")).alias("credible_n"),
-    )
+    ]
+
+
+def kpis(fact: DataFrame) -> DataFrame:
+    """The KPI strip as one row. No rows in context gives zero counts and nulls."""
+    headline = area_totals(fact).agg(*headline_columns())
     cuisines = fact.select(F.explode("cuisine_list").alias("cuisine")).agg(
         F.count_distinct("cuisine").alias("n")
     )
@@ -105,29 +123,7 @@ def kpis(fact: DataFrame) -> DataFrame:
             "cuisines": cuisines.scalar(),
         }
     )
-    return parts.select(
-        "restaurants",
-        "cities",
-        "localities",
-        "avg_cost",
-        "cost.median_cost",
-        "cost.p90_cost",
-        "max_cost",
-        "avg_rating",
-        "rated_n",
-        "not_rated_n",
-        "not_rated_pct",
-        "delivery_pct",
-        "booking_pct",
-        "total_votes",
-        "avg_votes",
-        "cuisines",
-        "avg_cuisines",
-        "credible_n",
-        "named.top_name",
-        "named.top_rating",
-        "named.priciest_name",
-    )
+    return parts.select(*STRIP)
 
 
 def dataset_facts(fact: DataFrame) -> DataFrame:
@@ -216,21 +212,36 @@ def cheap_vs_luxury(fact: DataFrame, cheap_below: float, luxury_from: float) ->
 
 
 # -- bands and tiers, empty ones kept ---------------------------------------
-def _per_band(df: DataFrame, value: Column, bands: Bands, measures: Sequence[Column]) -> DataFrame:
+def in_bands(grouped: DataFrame, bands: Bands) -> DataFrame:
+    """Measures by ``position`` with the names of all bands, empty ones too."""
     labels = literal_frame(
-        df.sparkSession,
+        grouped.sparkSession,
         T.StructType(
             [T.StructField("position", T.IntegerType()), T.StructField("band", T.StringType())]
         ),
         list(enumerate(bands.labels, 1)),
     )
-    grouped = df.withColumn("position", C.band_index(value, bands)).groupBy("position").agg(*measures)
     # Both sides have one row per band.
     return labels.join(F.broadcast(grouped), "position", "left").withColumn(
         "restaurants", F.coalesce("restaurants", F.lit(0))
     )
 
 
+def _per_band(df: DataFrame, value: Column, bands: Bands, measures: Sequence[Column]) -> DataFrame:
+    return in_bands(df.withColumn("position", C.band_index(value, bands)).groupBy("position").agg(*measures), bands)
+
+
+def rating_position(bands: Bands = RATING_BANDS) -> Column:
+    """The half-star band of a rated venue, null for the unrated."""
+    return F.when(F.col("is_rated"), C.band_index(F.col("rating"), _open_ended(bands)))
+
+
+def trend_position(bands: Bands = TREND_BANDS) -> Column:
+    """The cost band of a credible venue with a cost and a rating, else null."""
+    known = F.col("credible") & F.col("cost").isNotNull() & F.col("rating").isNotNull()
+    return F.when(known, C.band_index(F.col("cost"), bands))
+
+
 def _open_ended(bands: Bands) -> Bands:
     """The bands with the first open below and the last open above."""
     return Bands(edges=[float("-inf"), *bands.edges[1:-1], None], labels=bands.labels)
@@ -282,10 +293,15 @@ def tier_summary(fact: DataFrame, labels: dict[int, str], keep_empty: bool = Tru
         S.share_true(F.col("has_booking")).alias("booking_pct"),
         F.avg("votes").alias("avg_votes"),
     )
+    return in_tiers(grouped, labels, keep_empty)
+
+
+def in_tiers(grouped: DataFrame, labels: dict[int, str], keep_empty: bool = True) -> DataFrame:
+    """Measures by ``price_label``, with ``n`` venues, in tier order with each tier's share."""
     # Tier names come from the fixed labels, so this window spans a handful of rows.
     grouped = grouped.withColumn("total", F.sum("n").over(Window.partitionBy()))
     tiers = literal_frame(
-        fact.sparkSession,
+        grouped.sparkSession,
         T.StructType(
             [T.StructField("price_range", T.IntegerType()), T.StructField("price_label", T.StringType())]
         ),
@@ -383,9 +399,12 @@ def cuisine_summary(fact: DataFrame) -> DataFrame:
 
 
 def cuisines_by_rating(fact: DataFrame, floor: int = Floors().cuisine, limit: int = 12) -> DataFrame:
-    ranked = per_cuisine(exploded(fact)).where(
-        (F.col("restaurants") >= floor) & F.col("avg_rating").isNotNull()
-    )
+    return best_cuisines(per_cuisine(exploded(fact)), floor, limit)
+
+
+def best_cuisines(cuisines: DataFrame, floor: int, limit: int) -> DataFrame:
+    """The best rated rows of a cuisine table with enough venues."""
+    ranked = cuisines.where((F.col("restaurants") >= floor) & F.col("avg_rating").isNotNull())
     # The mean is rounded for ordering so that equal means tie however they were summed.
     return (
         ranked.orderBy(F.desc(F.round("avg_rating", 9)), "cuisine")
@@ -396,13 +415,12 @@ def cuisines_by_rating(fact: DataFrame, floor: int = Floors().cuisine, limit: in
 
 def top_cuisine_share(fact: DataFrame, top: int = 3) -> DataFrame:
     """Percent of venues serving at least one of the most common cuisines."""
-    leaders = (
-        exploded(fact)
-        .groupBy("cuisine")
-        .agg(venue_count().alias("restaurants"))
-        .orderBy(F.desc("restaurants"), "cuisine")
-        .limit(top)
-    )
+    return share_serving(fact, exploded(fact).groupBy("cuisine").agg(venue_count().alias("restaurants")), top)
+
+
+def share_serving(fact: DataFrame, cuisines: DataFrame, top: int) -> DataFrame:
+    """Percent of venues serving at least one of the ``top`` rows of a cuisine table."""
+    leaders = cuisines.orderBy(F.desc("restaurants"), "cuisine").limit(top)
     # One row holding ``top`` names, put to every venue's own list: the venues are
     # neither joined nor shuffled.
     names = leaders.agg(F.array_sort(F.collect_list("cuisine")).alias("names")).scalar()
@@ -529,7 +547,11 @@ def spearman(fact: DataFrame, x: str = "cost", y: str = "rating") -> DataFrame:
     value shared by many venues is one row in every join.
     """
     known = fact.where(F.col("credible") & F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
-    pairs = known.groupBy(x, y).agg(venue_count().alias("w"))
+    return spearman_of(known.groupBy(x, y).agg(venue_count().alias("w")), x, y)
+
+
+def spearman_of(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    """Rank correlation of distinct pairs with their number of venues ``w``."""
     ranked = pairs.join(average_ranks(pairs, x, "w").withColumnRenamed("rank", "rx"), x).join(
         average_ranks(pairs, y, "w").withColumnRenamed("rank", "ry"), y
     )

@@ -24,6 +24,11 @@ def locality_totals(fact: DataFrame, floor: int = Floors().locality) -> DataFram
         F.avg("cost").alias("avg_cost"),
         S.total(F.col("votes")).alias("total_votes"),
     )
+    return supported(grouped, floor)
+
+
+def supported(grouped: DataFrame, floor: int) -> DataFrame:
+    """Localities with at least ``floor`` venues, with their votes per venue."""
     return grouped.where(F.col("restaurants") >= floor).withColumn(
         "votes_per_venue", F.col("total_votes") / F.col("restaurants")
     )

@@ -117,10 +117,12 @@ def dense_ranks(df: DataFrame, column: str) -> DataFrame:
 
 
 def quantiles(
-    df: DataFrame, value: str, probabilities: Mapping[str, float], keys: Sequence[str] = ()
+    df: DataFrame, value: str, probabilities: Mapping[str, float], keys: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per named probability.
 
+    ``weight`` names the number of times that a row's value counts; without it, once.
+
     The first pass counts values per bucket. The second reads only the buckets that hold
     a wanted position and counts them in pieces, and the last orders only the pieces that
     hold one, so what is shuffled by value is a sliver of the data. Without
@@ -128,7 +130,7 @@ def quantiles(
     """
     keys = list(keys)
     points = df.where(F.col(value).isNotNull()).select(
-        *keys, F.col(value).cast("double").alias("_value")
+        *keys, F.col(value).cast("double").alias("_value"), (F.col(weight) if weight else F.lit(1)).alias("_w")
     )
     for key in keys:
         points = points.where(F.col(key).isNotNull())
@@ -146,7 +148,7 @@ def quantiles(
     def holding(rows: DataFrame, outer: list[str], level: str) -> DataFrame:
         """The buckets of ``level`` that hold a wanted position, with the rows before them."""
         counted = rows.groupBy(*outer, level).agg(
-            F.count(F.lit(1)).alias("_filled"), F.min("_value").alias("_lo"), F.max("_value").alias("_hi"),
+            F.sum("_w").alias("_filled"), F.min("_value").alias("_lo"), F.max("_value").alias("_hi"),
             *[F.min(c).alias(c) for c in ("_start", "_total") if c in rows.columns],
         )
         within = Window.partitionBy(*outer)
@@ -171,10 +173,10 @@ def quantiles(
 
     inside = Window.partitionBy(*levels).orderBy("_value")
     ranked = (
-        split.select(*levels, "_value")
+        split.select(*levels, "_value", "_w")
         .join(finer, levels)
         .groupBy(*levels, "_start", "_total", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_w").alias("_n"))
         .withColumn("_through", F.col("_start") + F.sum("_n").over(inside))
     )
 

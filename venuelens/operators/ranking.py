@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from venuelens.functions.columns import value_per_hundred
@@ -81,3 +84,57 @@ def seeded_sample(df: DataFrame, n: int = 700, seed: int = 42, key: str = "venue
     """At most ``n`` rows, the same ones on every run: the smallest keyed hashes."""
     ticket = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
     return top_n(df.withColumn("_ticket", ticket), n, "_ticket", key).drop("_ticket")
+
+
+@dataclass(frozen=True)
+class Board:
+    """A top-k table: who is eligible, what counts (largest first, nulls last), and how many."""
+
+    eligible: Column
+    order: tuple[Column, ...]
+    n: int
+    # Smallest first, where ``order`` ties or is empty; the venue id is always last.
+    ticket: Column | None = None
+
+
+def standard_boards(max_point_cost: float, n: int = 15, points: int = 700, seed: int = 42, rating_floor: float = 4.0) -> dict[str, Board]:
+    """The four leaderboards and the seeded sample of scatter points."""
+    rating, cost, votes = F.col("rating"), F.col("cost"), F.col("votes")
+    good = F.col("credible") & (rating >= rating_floor) & (cost > 0)
+    shown = F.col("credible") & rating.isNotNull() & (cost <= max_point_cost)
+    return {
+        "top_rated": Board(F.col("credible"), (rating, votes), n),
+        "most_expensive": Board(cost.isNotNull(), (cost,), n),
+        "best_value": Board(good, (value_per_hundred(rating, cost),), n),
+        "most_voted": Board(F.lit(True), (votes,), n),
+        "cost_vs_rating": Board(shown, (), points, F.md5(F.concat(F.col("venue_id").cast("string"), F.lit(f":{seed}")))),
+    }
+
+
+def places(fact: DataFrame, boards: Mapping[str, Board]) -> DataFrame:
+    """(board, place, venue_id) of several boards from one scan of the columns they order by.
+
+    Every venue is put up for the boards it is eligible for, with numbers and its id only. A rank under a
+    fixed limit plans as a group limit in each task, so a task sends its best rows of each board.
+    """
+    width = max(len(b.order) for b in boards.values())
+
+    def entry(name: str, board: Board) -> Column:
+        keys = [*board.order, *[F.lit(None)] * (width - len(board.order))]
+        fields = [k.cast("double").alias(f"k{i}") for i, k in enumerate(keys)]
+        ticket = board.ticket if board.ticket is not None else F.lit("")
+        row = F.struct(F.lit(name).alias("board"), *fields, ticket.alias("ticket"))
+        return F.when(F.coalesce(board.eligible, F.lit(False)), row)
+
+    entries = F.filter(F.array(*[entry(*item) for item in boards.items()]), lambda e: e.isNotNull())
+    put_up = fact.select("venue_id", F.inline(entries))
+    order = [*[F.desc_nulls_last(f"k{i}") for i in range(width)], F.col("ticket"), F.col("venue_id")]
+    rank = F.row_number().over(Window.partitionBy("board").orderBy(*order))
+    most = F.coalesce(*[F.when(F.col("board") == name, F.lit(b.n)) for name, b in boards.items()])
+    kept = put_up.withColumn("place", rank).where(F.col("place") <= max(b.n for b in boards.values()))
+    return kept.where(F.col("place") <= most).select("board", "place", "venue_id")
+
+
+def with_places(fact: DataFrame, placed: DataFrame) -> DataFrame:
+    """The venues of ``places`` with all their columns: few rows, sent to one scan of the fact."""
+    return fact.join(F.broadcast(placed), "venue_id")

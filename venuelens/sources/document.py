@@ -19,6 +19,7 @@ from venuelens.config import RATING_BANDS, TREND_BANDS, Bands, CleaningRules
 from venuelens.functions.statistics import adjusted_skewness
 from venuelens.operators import filters, measures, opportunity, ranking
 from venuelens.operators.measures import only_row
+from venuelens.operators.rollup import Summary, summarise
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -41,49 +42,109 @@ def presented(df: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     return df.select(*columns)
 
 
-def _list(df: DataFrame, order: Mapping[str, Column], fields: Sequence[str]) -> Column:
-    """A table of bounded size as one ordered array of records."""
-    keys = [column.alias(f"_key_{i}") for i, column in enumerate(order.values())]
-    shown = presented(df.select(*df.columns, F.struct(*keys).alias("_keys")), [*fields, "_keys"])
-    entries = shown.agg(
-        F.array_sort(F.collect_list(F.struct("_keys", F.struct(*fields).alias("record")))).alias("rows")
-    )
-    return entries.select(F.transform("rows", lambda entry: entry["record"]).alias("rows")).scalar()
+BOARD = ["venue_name", "city", "locality", "cuisines", "cost", "rating", "votes"]
+POINT = ["venue_name", "city", "cost", "rating", "votes", "price_label"]
+PLACE = ["city", "locality", "restaurants", "avg_rating", "avg_cost", "votes_per_venue", "score"]
+CUISINE = ["cuisine", "restaurants", "avg_rating", "avg_cost", "total_votes", "delivery_pct"]
+MEASURED = {"cost", "rating", "avg_rating", "avg_cost", "votes_per_venue", "score", "delivery_pct"}
 
 
-def _descending(*columns: str) -> dict[str, Column]:
-    # A missing value sorts last: nulls come first in an array, so their absence is the first key.
-    first, *rest = columns
-    return {
-        "blank": F.col(first).isNull(),
-        first: -F.round(F.col(first), 9),
-        **{name: (-F.col(name) if name == "votes" else F.col(name)) for name in rest},
-    }
+def _record(fields: Sequence[str]) -> str:
+    """A struct of fields, measures rounded to their places."""
+    shown = [f"bround({name}, {PLACES.get(name, 2)}) AS {name}" if name in MEASURED else name for name in fields]
+    return f"struct({', '.join(shown)})"
 
 
-def _ascending(*columns: str) -> dict[str, Column]:
-    return {name: F.col(name) for name in columns}
+def _list(fields: Sequence[str], order: str, where: str = "true") -> str:
+    """A table of bounded size as one ordered array of records."""
+    entries = f"collect_list(struct({order}, {_record(fields)} AS record)) FILTER (WHERE {where})"
+    return f"transform(array_sort({entries}), entry -> entry.record)"
 
 
-BOARD = ["venue_name", "city", "locality", "cuisines", "cost", "rating", "votes"]
-POINT = ["venue_name", "city", "cost", "rating", "votes", "price_label"]
-PLACE = ["city", "locality", "restaurants", "avg_rating", "avg_cost", "votes_per_venue", "score"]
-CUISINE = ["cuisine", "restaurants", "avg_rating", "avg_cost", "total_votes", "delivery_pct"]
+def _texts(values: Sequence[str]) -> str:
+    return f"array({', '.join(repr(str(v)) for v in values)})"
+
+
+def charts_sql(labels: Mapping[int, str], rating_bands: Bands, trend_bands: Bands, cuisine_floor: int) -> str:
+    """One row (charts, tables) over the tables of a summary.
+
+    Bands, tiers and delivery are one pass of grouping sets over the cells. All boards are one pass over theirs.
+    """
+    mean = "try_divide(sum({0}), sum({1}))".format
+    sums = f"""sum(venues) AS restaurants, bround({mean("rating", "ratings")}, 2) AS avg_rating,
+        bround({mean("cost", "costed")}, 0) AS avg_cost, bround({mean("votes", "voted")}, 0) AS avg_votes,
+        bround({mean("delivery", "delivery_known")} * 100, 1) AS delivery_pct,
+        bround({mean("booking", "booking_known")} * 100, 1) AS booking_pct"""
+
+    def by(key: str) -> str:
+        entry = "struct(restaurants, avg_rating, avg_cost, avg_votes, delivery_pct, booking_pct)"
+        found = f"collect_list(struct({key}, {entry})) FILTER (WHERE of = '{key}' AND {key} IS NOT NULL)"
+        return f"map_from_entries({found}) AS by_{key}"
+
+    def banded(bands: Bands, key: str, *fields: str) -> str:
+        found = f"try_element_at(by_{key}, i + 1)"
+        more = "".join(f"{found}.{name} AS {name}, " for name in fields)
+        return f"transform({_texts(bands.labels)}, (band, i) -> struct(band, {more}coalesce({found}.restaurants, 0L) AS restaurants))"
+
+    tier = "try_element_at(by_price_label, label)"
+    tiers = f"""transform(filter({_texts([v for _, v in sorted(labels.items())])}, label -> {tier} IS NOT NULL), label -> struct(
+        label AS price_label, {tier}.restaurants AS restaurants,
+        bround(100.0D * {tier}.restaurants / venues, 1) AS share_pct,
+        {", ".join(f"{tier}.{name} AS {name}" for name in ("avg_rating", "avg_cost", "delivery_pct", "booking_pct", "avg_votes"))}))"""
+    delivery = f"""transform(filter(array(false, true), flag -> try_element_at(by_has_delivery, flag) IS NOT NULL),
+        flag -> struct(flag AS has_delivery, {", ".join(f"try_element_at(by_has_delivery, flag).{name} AS {name}" for name in ("restaurants", "avg_rating", "avg_votes", "avg_cost"))}))"""
+    keys = ["rating_position", "trend_position", "price_label", "has_delivery"]
+    of = " ".join(f"WHEN grouping({key}) = 0 THEN '{key}'" for key in keys)
+    boards = [_list(BOARD, "place", f"board = '{name}'") + f" AS {name}" for name in ("top_rated", "most_expensive", "best_value", "most_voted")]
+    return f"""
+WITH grouped AS (
+  SELECT {", ".join(keys)}, CASE {of} END AS of, {sums}
+  FROM {{cells}} GROUP BY GROUPING SETS ({", ".join(f"({key})" for key in keys)})
+), maps AS (
+  SELECT {", ".join(map(by, keys))}, sum(restaurants) FILTER (WHERE of = 'price_label') AS venues FROM grouped
+), banded AS (
+  SELECT {banded(rating_bands, "rating_position")} AS rating_distribution, {tiers} AS price_range_mix,
+    {banded(trend_bands, "trend_position", "avg_rating")} AS cost_band_rating_trend, {delivery} AS delivery_effect
+  FROM maps
+), cities AS (
+  SELECT city, sum(venues) AS restaurants FROM {{cells}} WHERE city IS NOT NULL
+  GROUP BY city ORDER BY restaurants DESC, city LIMIT 15
+), volume AS (
+  SELECT * FROM {{cuisines}} ORDER BY restaurants DESC, cuisine LIMIT 15
+), best AS (
+  SELECT * FROM {{cuisines}} WHERE restaurants >= {cuisine_floor} AND avg_rating IS NOT NULL
+  ORDER BY round(avg_rating, 9) DESC, cuisine LIMIT 12
+), boards AS (
+  SELECT {", ".join(boards)}, {_list(POINT, "venue_id", "board = 'cost_vs_rating'")} AS cost_vs_rating FROM {{boards}}
+)
+SELECT struct(
+    banded.rating_distribution, banded.price_range_mix,
+    (SELECT {_list(["city", "restaurants"], "-restaurants AS n, city")} FROM cities) AS city_all,
+    (SELECT {_list(CUISINE, "-restaurants AS n, cuisine")} FROM volume) AS cuisine_by_volume,
+    (SELECT {_list(CUISINE[:4], "-round(avg_rating, 9) AS r, cuisine")} FROM best) AS cuisine_by_rating,
+    boards.cost_vs_rating, banded.cost_band_rating_trend, banded.delivery_effect
+  ) AS charts,
+  struct(
+    boards.top_rated, boards.most_expensive, boards.best_value, boards.most_voted,
+    (SELECT {_list(PLACE, "score IS NULL AS blank, -round(score, 9) AS s, city, locality")} FROM {{places}}) AS opportunity
+  ) AS tables
+FROM banded, boards
+"""
 
 
-def kpi_section(home: DataFrame, once: Column) -> DataFrame:
+def kpi_section(scope: Summary, once: Column) -> DataFrame:
     """The KPI strip with the skewness and the rating bias, rounded."""
-    strip = measures.kpis(home).withColumn("once", once)
+    strip = scope.kpis().withColumn("once", once)
     rounded = presented(strip.select("*", "once.cost_skew", "once.naive_rating").drop("once"))
     # The difference of the two figures as they are shown.
     return rounded.withColumn("bias_avoided", F.bround(F.col("avg_rating") - F.col("naive_rating"), 2))
 
 
-def stats_section(home: DataFrame, once: Column) -> DataFrame:
-    parts = home.sparkSession.range(0, 1, 1, 1).select(
+def stats_section(scope: Summary, once: Column) -> DataFrame:
+    parts = scope.fact.sparkSession.range(0, 1, 1, 1).select(
         once.alias("once"),
-        only_row(measures.spearman(home)).alias("ranks"),
-        only_row(measures.top_cuisine_share(home, 3)).alias("top3"),
+        only_row(scope.spearman()).alias("ranks"),
+        only_row(scope.top_cuisine_share(3)).alias("top3"),
     )
     return presented(
         parts.select(
@@ -110,9 +171,14 @@ def kpi_document(
     rating_bands: Bands = RATING_BANDS,
     max_point_cost: float = 4000,
 ) -> DataFrame:
-    """One row with the nested result of the home scope: meta, kpi, charts, tables, stats."""
+    """One row with the nested result of the home scope: meta, kpi, charts, tables, stats.
+
+    The home scope is reduced once to small written tables (``rollup.summarise``), which this call runs;
+    what they cannot give (central moments, the top cuisines' share, the whole data set's size) is one scan each.
+    """
     home = filters.in_country(fact, rules.scope.home_country)
     floors = rules.floors
+    scope = summarise(home, ranking.standard_boards(max_point_cost), rating_bands, trend_bands)
     # The figures that need nothing but the home rows, in one pass.
     once = only_row(
         home.agg(
@@ -130,56 +196,17 @@ def kpi_document(
             "min_votes_for_leaderboard": F.lit(floors.votes),
         }
     )
-    by_volume = ranking.top_n(measures.cuisine_summary(home), 15, F.desc("restaurants"), "cuisine")
-    points = ranking.seeded_sample(ranking.scatter_points(home, max_point_cost))
-    scored = opportunity.opportunity(home, floors.locality, keep_unrated=True)
-    best = opportunity.shortlist(scored)
-    charts = F.struct(
-        _list(
-            measures.rating_histogram(home, rating_bands), _ascending("position"), ["band", "restaurants"]
-        ).alias("rating_distribution"),
-        _list(
-            measures.tier_summary(home, dict(rules.price_labels), keep_empty=False),
-            _ascending("price_range"),
-            ["price_label", "restaurants", "share_pct", "avg_rating", "avg_cost", "delivery_pct",
-             "booking_pct", "avg_votes"],
-        ).alias("price_range_mix"),
-        _list(
-            measures.top_cities(home, 15), _descending("restaurants", "city"), ["city", "restaurants"]
-        ).alias("city_all"),
-        _list(by_volume, _descending("restaurants", "cuisine"), CUISINE).alias("cuisine_by_volume"),
-        _list(
-            measures.cuisines_by_rating(home, floors.cuisine, 12),
-            _descending("avg_rating", "cuisine"),
-            ["cuisine", "restaurants", "avg_rating", "avg_cost"],
-        ).alias("cuisine_by_rating"),
-        _list(points, _ascending("venue_id"), POINT).alias("cost_vs_rating"),
-        _list(
-            measures.cost_band_trend(home, trend_bands),
-            _ascending("position"),
-            ["band", "avg_rating", "restaurants"],
-        ).alias("cost_band_rating_trend"),
-        _list(
-            measures.delivery_effect(home),
-            _ascending("has_delivery"),
-            ["has_delivery", "restaurants", "avg_rating", "avg_votes", "avg_cost"],
-        ).alias("delivery_effect"),
+    best = opportunity.shortlist(opportunity.score(scope.localities(floors.locality), keep_unrated=True))
+    parts = fact.sparkSession.sql(
+        charts_sql(rules.price_labels, rating_bands, trend_bands, floors.cuisine),
+        cells=scope.cells, cuisines=scope.cuisines, boards=scope.boards, places=best,
     )
-    tables = F.struct(
-        _list(ranking.top_rated(home), _descending("rating", "votes", "venue_id"), BOARD).alias("top_rated"),
-        _list(ranking.most_expensive(home), _descending("cost", "venue_id"), BOARD).alias("most_expensive"),
-        _list(
-            ranking.best_value(home), _descending("stars_per_100", "venue_id"), BOARD
-        ).alias("best_value"),
-        _list(ranking.most_voted(home), _descending("votes", "venue_id"), BOARD).alias("most_voted"),
-        _list(best, _descending("score", "city", "locality"), PLACE).alias("opportunity"),
-    )
-    return fact.sparkSession.range(0, 1, 1, 1).select(
+    return parts.select(
         only_row(meta).alias("meta"),
-        only_row(kpi_section(home, once)).alias("kpi"),
-        charts.alias("charts"),
-        tables.alias("tables"),
-        only_row(stats_section(home, once)).alias("stats"),
+        only_row(kpi_section(scope, once)).alias("kpi"),
+        "charts",
+        "tables",
+        only_row(stats_section(scope, once)).alias("stats"),
     )
 
 

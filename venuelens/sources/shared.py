@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -26,3 +27,15 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="venuelens-"))
     return context.getCheckpointDir().rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written once to the shared folder and read from there.
+
+    What follows does not compute ``df`` again, also when an executor is lost, and Spark
+    knows the size of the files when it chooses a join.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/venuelens-tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
