@@ -108,7 +108,7 @@ def test_ranks_match_pandas(spark, numbers):
     df = spark.createDataFrame([(x,) for x in numbers], "x double").withColumn("w", F.lit(1))
     series = pd.Series(numbers)
     average = {r.x: r["rank"] for r in ordering.average_ranks(df, "x", "w").collect()}
-    dense = {r.x: r["rank"] for r in ordering.dense_ranks(df, "x").collect()}
+    dense = {r.value: r["rank"] for r in ordering.dense_ranks(df, "x").collect()}
     assert [average[x] for x in numbers] == list(series.rank())
     assert [dense[x] for x in numbers] == list(series.rank(method="dense", ascending=False))
 
@@ -123,11 +123,11 @@ NARROW = {
 
 
 @pytest.mark.parametrize("values", NARROW.values(), ids=NARROW.keys())
-def test_narrow_values_are_split_over_pieces(spark, values):
+def test_narrow_values_are_split_over_pieces(spark, monkeypatch, values):
+    monkeypatch.setattr(ordering, "PIECE", 4_096)
     df = spark.range(60_000).selectExpr(f"cast({values} as double) as x", "1 as w")
-    placed, levels = ordering.in_pieces(df, "x", splits=2 if "if(" in values else 1)
-    largest = placed.groupBy(*levels).count().agg(F.max("count")).first()[0]
-    assert largest <= ordering.SPLIT_ABOVE
+    placed = ordering.ranged(df, ["x"])
+    assert placed.groupBy("_piece").count().agg(F.max("count")).first()[0] <= 4_096
     plain = df.toPandas()["x"]
     ranks = {r.x: r["rank"] for r in ordering.average_ranks(df, "x", "w").collect()}
     assert [ranks[x] for x in plain] == list(plain.rank())
@@ -135,6 +135,35 @@ def test_narrow_values_are_split_over_pieces(spark, values):
     assert (got.a, got.b) == pytest.approx((np.quantile(plain, 0.25), np.quantile(plain, 0.999)), rel=1e-12)
 
 
+def test_a_tight_cluster_beside_an_outlier_ends_in_small_ranges(spark):
+    """A million values inside 1e-9 of each other: ranges are counted, not trusted."""
+    df = spark.range(1_000_001).selectExpr("if(id = 0, 5000.0D, 1 + id * 1e-15D) as x", "1 as w").groupBy("x").agg(F.sum("w").alias("w"))
+    placed = ordering.ranged(df, ["x"], piece=10_000)
+    sizes = placed.groupBy("_piece").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("_piece").collect()
+    assert max(r.n for r in sizes) < 10_000 and sum(r.n for r in sizes) == df.count()
+    assert all(a.hi < b.lo for a, b in zip(sizes, sizes[1:], strict=False))
+
+
+def test_ranges_are_dealt_again_until_none_is_large(spark, monkeypatch):
+    """Whatever the first boundaries are worth, the counted ranges decide."""
+    df = spark.range(3_000).selectExpr("id * 1.0D as x")
+    dealt = []
+    first = type(df).repartitionByRange
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, n, *c: dealt.append(n) or first(self, n if len(dealt) > 1 else 2, *c))
+    assert ordering.ranged(df, ["x"], piece=200).groupBy("_piece").count().agg(F.max("count")).first()[0] <= 200
+    assert len(dealt) >= 2 and dealt[1] == 2 * dealt[0]
+
+
+def test_quantiles_of_numbered_values(spark):
+    df = spark.range(2_000).selectExpr("cast(pow(id % 700, 2) as double) as x", "if(id % 3 = 0, null, 1.0 * (id % 11)) as y")
+    got = ordering.numbered(df, {"x": F.col("x"), "y": F.col("y")}, F.lit(1))
+    plain = df.toPandas()
+    for name in ("x", "y"):
+        q = ordering.quantiles_of(got.where(F.col("series") == name), {"a": 0.5, "b": 0.93}).first()
+        assert (q.a, q.b) == (pytest.approx(plain[name].quantile(0.5)), pytest.approx(plain[name].quantile(0.93)))
+    assert ordering.quantiles_of(got.limit(0), {"a": 0.5}).first().a is None
+
+
 def test_dictionary_codes(spark):
     words = [f"w{random.Random(i).randrange(500)}" for i in range(2_000)] + [None]
     df = spark.createDataFrame([(w,) for w in words], "w string").repartition(7)

@@ -18,7 +18,7 @@ from venuelens.functions import columns as C
 from venuelens.functions import statistics as S
 from venuelens.operators.dimensions import literal_frame
 from venuelens.operators.filters import currency_mean
-from venuelens.operators.ordering import average_ranks, quantiles
+from venuelens.operators.ordering import average_rank, numbered, quantiles, ranks_in
 
 def venue_count() -> Column:
     return F.count(F.lit(1))
@@ -544,17 +544,17 @@ def spearman(fact: DataFrame, x: str = "cost", y: str = "rating") -> DataFrame:
     """Rank correlation over credible venues.
 
     Ranks belong to distinct values and rows collapse to distinct pairs first, so a
-    value shared by many venues is one row in every join.
+    value shared by many venues is one row in every join. Both columns are ranked in the same passes.
     """
     known = fact.where(F.col("credible") & F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
-    return spearman_of(known.groupBy(x, y).agg(venue_count().alias("w")), x, y)
+    pairs = known.groupBy(x, y).agg(venue_count().alias("w"))
+    ranks = numbered(pairs, {x: F.col(x), y: F.col(y)}, F.col("w"))
+    return spearman_of(pairs, ranks.withColumn("rank", average_rank()), x, y)
 
 
-def spearman_of(pairs: DataFrame, x: str, y: str) -> DataFrame:
-    """Rank correlation of distinct pairs with their number of venues ``w``."""
-    ranked = pairs.join(average_ranks(pairs, x, "w").withColumnRenamed("rank", "rx"), x).join(
-        average_ranks(pairs, y, "w").withColumnRenamed("rank", "ry"), y
-    )
+def spearman_of(pairs: DataFrame, ranks: DataFrame, x: str, y: str) -> DataFrame:
+    """Rank correlation of distinct pairs with their number of venues ``w``, from the ranks of both columns."""
+    ranked = pairs.join(ranks_in(ranks, x, x, "rx"), x).join(ranks_in(ranks, y, y, "ry"), y)
     w, rx, ry = F.col("w").cast("double"), F.col("rx"), F.col("ry")
     # Average ranks keep the mean of plain ranks, (n + 1) / 2, whatever the ties.
     sums = ranked.agg(

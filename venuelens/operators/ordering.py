@@ -12,19 +12,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from venuelens.sources.shared import written
 
+# Distinct values that one task orders, and ranges they are dealt into at most; a range of
+# very many values is larger, so that the table of ranges stays bounded.
+PIECE = 65_536
+MOST_PIECES = 20_000
 # Buckets per factor e: about 0.4 % relative width. Doubles span about 1,456 such
 # factors to each side of zero, so there are never more than about 746,000 buckets.
 STEPS = 256
 # The logarithm of the smallest double is just above minus this.
 LOWEST_LOG = 746
-# A bucket of more values than this is split, and of more than a fixed part of all
-# values where there are very many, so that the number of pieces stays bounded.
+# A bucket of more values than this is split.
 SPLIT_ABOVE = 4_096
-MOST_PARTS = 20_000
 
 
 def bucket_of(value: Column) -> Column:
@@ -33,12 +36,9 @@ def bucket_of(value: Column) -> Column:
     return F.coalesce(F.signum(value) * size, F.lit(0)).cast("long")
 
 
-def _pieces(rows: Column, total: Column | None = None) -> Column:
+def _pieces(rows: Column) -> Column:
     """Into how many pieces to split a bucket of ``rows`` rows."""
-    limit = F.lit(float(SPLIT_ABOVE))
-    if total is not None:
-        limit = F.greatest(limit, total / MOST_PARTS)
-    return F.when(rows > limit, F.ceil(rows * 2 / limit)).otherwise(F.lit(1)).cast("long")
+    return F.when(rows > SPLIT_ABOVE, F.ceil(rows * 2.0 / SPLIT_ABOVE)).otherwise(F.lit(1)).cast("long")
 
 
 def _piece_of(value: Column) -> Column:
@@ -49,48 +49,57 @@ def _piece_of(value: Column) -> Column:
     return F.when(split, F.least(place, F.col("_pieces") - 1)).otherwise(F.lit(0)).cast("long")
 
 
-def in_pieces(values: DataFrame, value: str, splits: int = 1) -> tuple[DataFrame, list[str]]:
-    """Rows with the columns that name their piece, in the order of the values.
+def ranged(values: DataFrame, order: Sequence[str], piece: int | None = None) -> DataFrame:
+    """Written rows in ranges of ``order``, numbered in ``_piece``, none of more than ``piece`` rows.
 
-    One split is enough unless a far tighter cluster shares its bucket with an outlier,
-    which stretches the bucket; a second one parts them, for a plan of twice the size.
+    Rows must be distinct in ``order``. The boundaries are sampled, so the rows of each written range are
+    counted: while one is too large, all are dealt again into twice as many ranges.
     """
-    placed, levels = values.withColumn("_level0", bucket_of(F.col(value))), ["_level0"]
-    for number in range(1, splits + 1):
-        table = (
-            placed.groupBy(*levels)
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-            .withColumn("_pieces", _pieces(F.col("_rows"), F.sum("_rows").over(Window.partitionBy())))
-            .where("_pieces > 1")
-            .drop("_rows")
-        )
-        # Only split buckets are listed: at most MOST_PARTS rows whatever the data.
-        placed = (
-            placed.join(F.broadcast(table), levels, "left")
-            .withColumn(f"_level{number}", F.coalesce(_piece_of(F.col(value)), F.lit(0)))
-            .drop("_lo", "_hi", "_pieces")
-        )
-        levels = [*levels, f"_level{number}"]
-    return placed, levels
-
-
-def totals_below(values: DataFrame, value: str, weight: str) -> DataFrame:
-    """Add ``below``: the weight of all smaller values. One row per distinct value."""
-    placed, levels = in_pieces(values, value)
-    earlier = Window.orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(*levels).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    seen = Observation()
+    values = written(values.observe(seen, F.count(F.lit(1)).alias("rows")), "distinct")
+    rows = seen.get["rows"]
+    limit = max(piece or PIECE, -(-4 * rows // MOST_PIECES))
+    if rows <= limit:
+        return values.withColumn("_piece", F.lit(0))
+    pieces = -(-4 * rows // limit)
+    while True:
+        dealt = values.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id())
+        dealt = written(dealt, "ranges")
+        if dealt.groupBy("_piece").count().agg(F.max("count")).first()[0] <= limit:
+            return dealt
+        pieces *= 2
+
+
+def totals_below(values: DataFrame, value: str, weight: str, series: Sequence[str] = ()) -> DataFrame:
+    """Add ``below``: the weight of all smaller values of the same series. One row per distinct value."""
+    series = list(series)
+    placed = ranged(values, [*series, value])
+    earlier = Window.partitionBy(*series).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*series, "_piece").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed.groupBy(*levels)
+        placed.groupBy(*series, "_piece")
         .agg(F.sum(weight).alias("_filled"))
-        .select(*levels, F.coalesce(F.sum("_filled").over(earlier), F.lit(0)).alias("_start"))
+        .select(*series, "_piece", F.coalesce(F.sum("_filled").over(earlier), F.lit(0)).alias("_start"))
     )
     below = F.col("_start") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
-    # One row per piece, of which there is a bounded number whatever the data.
-    return (
-        placed.join(F.broadcast(starts), levels)
-        .withColumn("below", below)
-        .drop(*levels, "_start")
-    )
+    # One row per range and series, of which there is a bounded number whatever the data.
+    return placed.join(F.broadcast(starts), [*series, "_piece"]).withColumn("below", below).drop("_piece", "_start")
+
+
+def numbered(df: DataFrame, columns: Mapping[str, Column], weight: Column) -> DataFrame:
+    """(series, value, n, below) of the distinct known values of several columns, in the same passes.
+
+    ``weight`` says how many rows a row stands for; n is its sum, and below that of all smaller values.
+    """
+    each = [F.struct(F.lit(name).alias("series"), c.cast("double").alias("value")) for name, c in columns.items()]
+    long = df.select(F.inline(F.array(*each)), weight.alias("n")).where(F.col("value").isNotNull())
+    counted = long.groupBy("series", "value").agg(F.sum("n").alias("n"))
+    return totals_below(counted, "value", "n", ["series"])
+
+
+def average_rank() -> Column:
+    """1-based rank of a numbered value, ties sharing the mean of their places."""
+    return F.col("below") + (F.col("n") + 1) / 2
 
 
 def average_ranks(df: DataFrame, column: str, weight: str) -> DataFrame:
@@ -98,22 +107,37 @@ def average_ranks(df: DataFrame, column: str, weight: str) -> DataFrame:
 
     ``weight`` says how many rows a row stands for.
     """
-    known = df.where(F.col(column).isNotNull())
-    counted = known.groupBy(column).agg(F.sum(weight).alias("_n"))
-    rank = F.col("below") + (F.col("_n") + 1) / 2
-    return totals_below(counted, column, "_n").select(column, rank.alias("rank"))
-
-
-def dense_ranks(df: DataFrame, column: str) -> DataFrame:
-    """1-based dense rank of each distinct value, largest first."""
-    distinct = (
-        df.where(F.col(column).isNotNull())
-        .select(column, (-F.col(column)).alias("_down"), F.lit(1).alias("_one"))
-        .distinct()
-    )
-    return totals_below(distinct, "_down", "_one").select(
-        column, (F.col("below") + 1).cast("long").alias("rank")
-    )
+    found = numbered(df, {column: F.col(column)}, F.col(weight))
+    return found.select(F.col("value").alias(column), average_rank().alias("rank"))
+
+
+def dense_ranks(df: DataFrame, *columns: str) -> DataFrame:
+    """(series, value, rank): 1-based dense rank of each distinct value of ``columns``, largest first."""
+    distinct = [F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("value")) for c in columns]
+    long = df.select(F.inline(F.array(*distinct))).where(F.col("value").isNotNull()).distinct()
+    long = long.select("series", "value", (-F.col("value")).alias("_down"), F.lit(1).alias("_one"))
+    found = totals_below(long, "_down", "_one", ["series"])
+    return found.select("series", "value", (F.col("below") + 1).cast("long").alias("rank"))
+
+
+def ranks_in(ranks: DataFrame, series: str, column: str, rank: str) -> DataFrame:
+    """One series of a rank table, to join by ``column``."""
+    return ranks.where(F.col("series") == series).select(F.col("value").alias(column), F.col("rank").alias(rank))
+
+
+def quantiles_of(ordered: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
+    """Quantiles with linear interpolation as one row, from one series of ``numbered`` values."""
+    counted = ordered.withColumn("_total", ordered.agg(F.sum("n")).scalar())
+
+    def at(place: Column) -> Column:
+        return F.min(F.when(F.col("below") + F.col("n") > place, F.col("value")))
+
+    def quantile(p: float) -> Column:
+        position = (F.col("_total") - 1) * F.lit(float(p))
+        low, high = at(F.floor(position)), at(F.ceil(position))
+        return low + F.max(position - F.floor(position)) * (high - low)
+
+    return counted.agg(*[quantile(p).alias(name) for name, p in probabilities.items()])
 
 
 def quantiles(

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from venuelens.functions.columns import value_per_hundred
-from venuelens.operators.ordering import dense_ranks
+from venuelens.operators.ordering import dense_ranks, ranks_in
+from venuelens.sources.shared import written
 
 BOARD = ["venue_id", "venue_name", "city", "locality", "cuisines", "cost", "rating", "votes"]
 
@@ -62,8 +63,10 @@ def name_ranks(fact: DataFrame, digits: int = 9) -> DataFrame:
             F.count_if("credible").alias("credible_n"),
         )
     )
-    by_cost = dense_ranks(names, "mean_cost").withColumnRenamed("rank", "cost_rank")
-    by_rating = dense_ranks(names, "mean_rating").withColumnRenamed("rank", "any_rating_rank")
+    names = written(names, "names")
+    ranks = dense_ranks(names, "mean_cost", "mean_rating")
+    by_cost = ranks_in(ranks, "mean_cost", "mean_cost", "cost_rank")
+    by_rating = ranks_in(ranks, "mean_rating", "mean_rating", "any_rating_rank")
     rating_rank = F.when(F.col("credible_n") > 0, F.col("any_rating_rank"))
     return (
         names.join(by_cost, "mean_cost", "left")

@@ -22,6 +22,10 @@ from venuelens.operators.measures import only_row, ratio
 from venuelens.sources.shared import written
 
 
+# Venues that correlations compare.
+COMPARABLE = "credible AND cost IS NOT NULL AND rating IS NOT NULL"
+
+
 def cells(fact: DataFrame, rating_bands: Bands = RATING_BANDS, trend_bands: Bands = TREND_BANDS) -> DataFrame:
     """Mergeable totals by area, tier, delivery and both bands."""
     placed = fact.withColumns(
@@ -39,19 +43,28 @@ def value_counts(fact: DataFrame) -> DataFrame:
     return fact.groupBy("credible", "cost", "rating").agg(measures.venue_count().alias("w"))
 
 
+def ranked_values(values: DataFrame) -> DataFrame:
+    """All known costs, and costs and ratings of the venues that a rank correlation compares, numbered together."""
+    known = F.expr(COMPARABLE)
+    columns = {"any_cost": F.col("cost"), "cost": F.when(known, F.col("cost")), "rating": F.when(known, F.col("rating"))}
+    return ordering.numbered(values, columns, F.col("w"))
+
+
 @dataclass(frozen=True)
 class Summary:
-    """A scope's written tables: cells, value counts, cuisines, and the venues on its boards."""
+    """A scope's written tables: cells, value counts and their ranks, cuisines, and the venues on its boards."""
 
     fact: DataFrame
     cells: DataFrame
     values: DataFrame
+    ranks: DataFrame
     cuisines: DataFrame
     boards: DataFrame
 
     def kpis(self) -> DataFrame:
         """The KPI strip, as ``measures.kpis`` gives it."""
-        quantiles = ordering.quantiles(self.values, "cost", {"median_cost": 0.5, "p90_cost": 0.9}, weight="w")
+        costs = self.ranks.where("series = 'any_cost'")
+        quantiles = ordering.quantiles_of(costs, {"median_cost": 0.5, "p90_cost": 0.9})
 
         def first(board: str, field: str):
             return F.max(F.when((F.col("board") == board) & (F.col("place") == 1), F.col(field)))
@@ -82,8 +95,8 @@ class Summary:
         return opportunity.supported(grouped, floor)
 
     def spearman(self) -> DataFrame:
-        known = self.values.where("credible and cost is not null and rating is not null")
-        return measures.spearman_of(known.select("cost", "rating", "w"), "cost", "rating")
+        known = self.values.where(COMPARABLE).select("cost", "rating", "w")
+        return measures.spearman_of(known, self.ranks.withColumn("rank", ordering.average_rank()), "cost", "rating")
 
     def top_cuisine_share(self, top: int = 3) -> DataFrame:
         return measures.share_serving(self.fact, self.cuisines, top)
@@ -95,11 +108,13 @@ def summarise(
     """Reduce a scope: one scan each for cells, values and cuisines, two for the boards, all written to the shared folder."""
     tables = {
         "cells": lambda: cells(fact, rating_bands, trend_bands),
-        "values": lambda: value_counts(fact),
+        "ranks": lambda: ranked_values(values.result()),
         "cuisines": lambda: measures.per_cuisine(measures.exploded(fact)),
         "boards": lambda: ranking.with_places(fact, written(ranking.places(fact, boards), "places")),
     }
-    # Separate jobs that do not wait for one another.
-    with ThreadPoolExecutor(len(tables)) as pool:
-        run = inheritable_thread_target(fact.sparkSession)(lambda name: written(tables[name](), name))
-        return Summary(fact, **dict(zip(tables, pool.map(run, tables), strict=True)))
+    # Separate jobs that do not wait for one another, but for the ranks of the values.
+    with ThreadPoolExecutor(len(tables) + 1) as pool:
+        run = inheritable_thread_target(fact.sparkSession)(lambda name, table: written(table(), name))
+        values = pool.submit(run, "values", lambda: value_counts(fact))
+        found = {name: pool.submit(run, name, table) for name, table in tables.items()}
+        return Summary(fact, values=values.result(), **{name: f.result() for name, f in found.items()})
