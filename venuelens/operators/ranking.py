@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -89,6 +89,12 @@ def seeded_sample(df: DataFrame, n: int = 700, seed: int = 42, key: str = "venue
     return top_n(df.withColumn("_ticket", ticket), n, "_ticket", key).drop("_ticket")
 
 
+def first_of(rows: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each group; a rank under a fixed limit plans as a group limit in each task."""
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return rows.withColumn("_place", rank).where("_place <= 1").drop("_place")
+
+
 @dataclass(frozen=True)
 class Board:
     """A top-k table: who is eligible, what counts (largest first, nulls last), and how many."""

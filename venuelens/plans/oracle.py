@@ -308,6 +308,23 @@ FROM home WHERE locality = 'BUILDING'""")
 
     # -- headline figures
     out["kpis"] = on_fact(kpi_strip("home"))
+    picked = "venue_id IN (SELECT venue_id FROM home_pairs WHERE cuisine IN ('Brand#3', 'Brand#11'))"
+    scopes = {
+        "all": "true", "city": "city = 'NATION_2'", "tags": picked, "tiers": "price_range IN (1, 4)",
+        "flags": "has_delivery AND credible",
+        "search": "contains(lower(venue_name), 'machinery') OR contains(lower(locality), 'machinery')",
+        "combined": f"city IN ('NATION_2', 'NATION_7') AND {picked} AND price_range IN (1, 2, 3) AND is_rated AND rating >= 2.0",
+        "impossible": "false",
+    }
+    sources = ", ".join(f"in_{name} AS (SELECT * FROM home WHERE {test})" for name, test in scopes.items())
+    strips = " UNION ALL ".join(f"SELECT '{name}' AS name, * FROM ({kpi_strip(f'in_{name}')})" for name in scopes)
+    out["kpi_contexts"] = on_fact(f", {sources} {strips}")
+    out["scope_lines"] = on_fact(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS name, count(*) FILTER ({test}) AS in_scope, count(*) AS total FROM home"
+            for name, test in scopes.items()
+        )
+    )
     out["kpis_filtered"] = on_fact(kpi_strip("combined"))
     out["kpis_empty"] = on_fact(", empty AS (SELECT * FROM home WHERE false) " + kpi_strip("empty"))
     out["cost_skew"] = on_fact("""

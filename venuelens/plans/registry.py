@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from venuelens.config import FilterSpec
 from venuelens.operators import (
-    checks, cleaning, dimensions, filters, joins, measures, opportunity, ranking,
+    checks, cleaning, contexts, dimensions, filters, joins, measures, opportunity, ranking,
 )
 from venuelens.plans import pipeline
 from venuelens.sources import driver_tables as tables
@@ -37,6 +37,16 @@ COMBINED = FilterSpec(
     min_rating=2.0,
 )
 IMPOSSIBLE = FilterSpec(cities=(CITY,), min_rating=4.99, price_tiers=(1,), search="no such venue")
+CONTEXTS = {
+    "all": FilterSpec(),
+    "city": FilterSpec(cities=(CITY,)),
+    "tags": FilterSpec(cuisines=CUISINES),
+    "tiers": FilterSpec(price_tiers=TIERS),
+    "flags": FilterSpec(delivery_only=True, credible_only=True),
+    "search": FilterSpec(search=SEARCH),
+    "combined": COMBINED,
+    "impossible": IMPOSSIBLE,
+}
 MAX_POINT_COST = 300_000
 CHEAP_BELOW, LUXURY_FROM = 50_000, 400_000
 FLOORS = tables.FLOORS
@@ -54,6 +64,17 @@ def built_star(spark: SparkSession, sf_dir: str) -> str:
     return _built[key]
 
 
+_by_venue: dict[str, star.ByVenue] = {}
+
+
+def by_venue(spark: SparkSession, sf_dir: str) -> star.ByVenue:
+    """Fact and bridge in buckets of the venue id, written on first use in the session."""
+    path = built_star(spark, sf_dir)
+    if path not in _by_venue:
+        _by_venue[path] = star.write_by_venue(spark, path)
+    return _by_venue[path]
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> star.Cleaned:
     """The cleaning pipeline over the tables, not yet run."""
     return pipeline.clean(
@@ -176,7 +197,8 @@ def bridge_pairs(spark, sf_dir):
 
 @register
 def home_bridge(spark, sf_dir):
-    return filters.restrict_bridge(bridge(spark, sf_dir), home(spark, sf_dir))
+    stored = by_venue(spark, sf_dir)
+    return filters.restrict_bridge(stored.bridge, filters.in_country(stored.fact, tables.SCOPE.home_country))
 
 
 # -- dimensions and encodings --------------------------------------------------
@@ -286,6 +308,17 @@ def scope_line(spark, sf_dir):
     return filters.scope_line(home(spark, sf_dir), COMBINED)
 
 
+@register
+def kpi_contexts(spark, sf_dir):
+    """The KPI strips of eight filter contexts, one of them empty, evaluated together."""
+    return contexts.kpi_strips(home(spark, sf_dir), CONTEXTS)
+
+
+@register
+def scope_lines(spark, sf_dir):
+    return contexts.scope_lines(home(spark, sf_dir), CONTEXTS)
+
+
 @register
 def drill_through(spark, sf_dir):
     return filters.drill_through(home(spark, sf_dir), LOCALITY).select(
@@ -377,7 +410,8 @@ def tag_summary(spark, sf_dir):
 
 @register
 def tag_summary_join(spark, sf_dir):
-    pairs = measures.bridge_with_fact(bridge(spark, sf_dir), home(spark, sf_dir))
+    stored = by_venue(spark, sf_dir)
+    pairs = measures.bridge_with_fact(stored.bridge, filters.in_country(stored.fact, tables.SCOPE.home_country))
     return measures.per_cuisine(pairs)
 
 
@@ -437,7 +471,8 @@ def star_join(spark, sf_dir):
     path = built_star(spark, sf_dir)
     countries = star.read_table(spark, path, "dim_country")
     tiers = star.read_table(spark, path, "dim_price_range")
-    rows = joins.star_join(fact(spark, sf_dir), bridge(spark, sf_dir), countries, tiers)
+    stored = by_venue(spark, sf_dir)
+    rows = joins.star_join(stored.fact, stored.bridge, countries, tiers)
     return rows.groupBy("country", "price_label", "cuisine").agg(
         measures.venue_count().alias("restaurants"), F.sum("votes").alias("total_votes")
     )

@@ -62,7 +62,9 @@ def _list(fields: Sequence[str], order: str, where: str = "true") -> str:
 
 
 def _texts(values: Sequence[str]) -> str:
-    return f"array({', '.join(repr(str(v)) for v in values)})"
+    """Literal texts; braces are doubled, as the statement is formatted with its tables."""
+    quoted = [repr(str(v)).replace("{", "{{").replace("}", "}}") for v in values]
+    return f"array({', '.join(quoted)})"
 
 
 def charts_sql(labels: Mapping[int, str], rating_bands: Bands, trend_bands: Bands, cuisine_floor: int) -> str:
@@ -114,21 +116,23 @@ WITH grouped AS (
 ), best AS (
   SELECT * FROM {{cuisines}} WHERE restaurants >= {cuisine_floor} AND avg_rating IS NOT NULL
   ORDER BY round(avg_rating, 9) DESC, cuisine LIMIT 12
-), boards AS (
-  SELECT {", ".join(boards)}, {_list(POINT, "venue_id", "board = 'cost_vs_rating'")} AS cost_vs_rating FROM {{boards}}
+), shown AS (
+  SELECT *, (SELECT struct({", ".join(boards)}, {_list(POINT, "venue_id", "board = 'cost_vs_rating'")} AS cost_vs_rating)
+             FROM {{boards}}) AS boards
+  FROM banded
 )
 SELECT struct(
-    banded.rating_distribution, banded.price_range_mix,
+    rating_distribution, price_range_mix,
     (SELECT {_list(["city", "restaurants"], "-restaurants AS n, city")} FROM cities) AS city_all,
     (SELECT {_list(CUISINE, "-restaurants AS n, cuisine")} FROM volume) AS cuisine_by_volume,
     (SELECT {_list(CUISINE[:4], "-round(avg_rating, 9) AS r, cuisine")} FROM best) AS cuisine_by_rating,
-    boards.cost_vs_rating, banded.cost_band_rating_trend, banded.delivery_effect
+    boards.cost_vs_rating, cost_band_rating_trend, delivery_effect
   ) AS charts,
   struct(
     boards.top_rated, boards.most_expensive, boards.best_value, boards.most_voted,
     (SELECT {_list(PLACE, "score IS NULL AS blank, -round(score, 9) AS s, city, locality")} FROM {{places}}) AS opportunity
   ) AS tables
-FROM banded, boards
+FROM shown
 """
 
 
