@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from venuelens.llm.components import components
@@ -86,10 +86,11 @@ def links(fps: DataFrame) -> DataFrame:
     Every linked pair of a variant group of up to ``PAIRED`` fingerprints is returned. Larger
     groups are connected through neighbours, of which a key has at most 65.
     """
-    spread = variants(fps)
-    # Counted in a partial aggregate and joined back, so that a variant of very many fingerprints is split over tasks.
-    repeated = written(spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
-    shared = written(spread.join(repeated, "key"), "variants")
+    # One shuffle: counting first and joining back would deal all variants twice. Of a very common variant, one
+    # task counts the different fingerprints; it sorts and spills, and keeps none of them in memory.
+    group = Window.partitionBy("key")
+    shared = variants(fps).withColumn("n", F.count("*").over(group)).where("n > 1")
+    shared = written(shared, "variants")
     few = shared.where(F.col("n") <= PAIRED)
     left = few.select("key", F.col("fp").alias("a"))
     right = few.select("key", F.col("fp").alias("b"))
