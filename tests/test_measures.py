@@ -155,7 +155,7 @@ def test_ranges_are_dealt_again_until_none_is_large(spark, monkeypatch):
 
 
 def test_quantiles_of_numbered_values(spark):
-    df = spark.range(2_000).selectExpr("cast(pow(id % 700, 2) as double) as x", "if(id % 3 = 0, null, 1.0 * (id % 11)) as y")
+    df = spark.range(2_000).selectExpr("cast(pow(id % 700, 2) as double) as x", "if(id % 3 = 0, null, 1.0D * (id % 11)) as y")
     got = ordering.numbered(df, {"x": F.col("x"), "y": F.col("y")}, F.lit(1))
     plain = df.toPandas()
     for name in ("x", "y"):

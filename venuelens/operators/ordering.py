@@ -125,14 +125,8 @@ def ranks_in(ranks: DataFrame, series: str, column: str, rank: str) -> DataFrame
     return ranks.where(F.col("series") == series).select(F.col("value").alias(column), F.col("rank").alias(rank))
 
 
-def quantiles_by(ordered: DataFrame, key: str, probabilities: Mapping[str, float]) -> DataFrame:
-    """Quantiles with linear interpolation of ``numbered`` values, a row for each ``key``, in one aggregate.
-
-    A value holds the positions from ``below`` to ``below`` + n. What a position needs of the key's total comes
-    with a join of one row for each key.
-    """
-    totals = ordered.groupBy(F.col(key).alias("_key")).agg(F.sum("n").alias("_total"))
-    counted = ordered.join(totals, F.col(key) == F.col("_key"))
+def _interpolated(probabilities: Mapping[str, float]) -> list[Column]:
+    """Aggregates of numbered values with their ``_total``: a value holds the positions from ``below`` to ``below`` + n."""
 
     def at(place: Column) -> Column:
         return F.min(F.when(F.col("below") + F.col("n") > place, F.col("value")))
@@ -142,13 +136,22 @@ def quantiles_by(ordered: DataFrame, key: str, probabilities: Mapping[str, float
         low, high = at(F.floor(position)), at(F.ceil(position))
         return low + F.max(position - F.floor(position)) * (high - low)
 
-    return counted.groupBy(key).agg(*[quantile(p).alias(name) for name, p in probabilities.items()])
+    return [quantile(p).alias(name) for name, p in probabilities.items()]
+
+
+def quantiles_by(ordered: DataFrame, key: str, probabilities: Mapping[str, float]) -> DataFrame:
+    """Quantiles with linear interpolation of ``numbered`` values, a row for each ``key``, in one aggregate.
+
+    What a position needs of the key's total comes with a join of one row for each key.
+    """
+    totals = ordered.groupBy(F.col(key).alias("_key")).agg(F.sum("n").alias("_total"))
+    return ordered.join(totals, F.col(key) == F.col("_key")).groupBy(key).agg(*_interpolated(probabilities))
 
 
 def quantiles_of(ordered: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
-    """``quantiles_by`` of a single series, as one row: of nulls when there are no values."""
-    found = quantiles_by(ordered.withColumn("_one", F.lit(1)), "_one", probabilities)
-    return found.agg(*[F.max(name).alias(name) for name in probabilities])
+    """Quantiles of a single series as one row, of nulls when there are no values."""
+    total = ordered.agg(F.sum("n").alias("n")).scalar()
+    return ordered.withColumn("_total", total).agg(*_interpolated(probabilities))
 
 
 def quantiles(
