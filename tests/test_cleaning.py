@@ -11,7 +11,8 @@ from venuelens.operators import cleaning
 from venuelens.plans.batch import run
 from venuelens.plans.pipeline import build, clean
 from venuelens.schemas import FACT, RAW_HEADER
-from venuelens.sources.raw import HeaderError, read_raw
+from venuelens.sources import star as stars
+from venuelens.sources.raw import NULL_TOKENS, HeaderError, read_raw, write_raw
 from venuelens.sources.star import aggregates, load_model, write_aggregates
 
 RUPEES = "Indian Rupees(Rs.)"
@@ -248,6 +249,63 @@ def test_star_on_disk(spark, raw, star, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "agg" / "agg_cuisine_csv")).count() >= 2
 
 
+def test_a_failed_write_leaves_the_old_star(spark, raw, star, tmp_path, monkeypatch):
+    path = str(tmp_path / "star")
+    old = build(raw, path)
+    opened = stars.read_star(spark, path)
+    broken = star.dim_country.withColumn("country", F.raise_error(F.lit("third table")))
+    with monkeypatch.context() as patched:
+        patched.setattr(stars.dimensions, "dim_country", lambda fact: broken)
+        with pytest.raises(Exception, match="third table"):
+            build(raw.where("venue_id > 110"), path)
+    assert len(list((tmp_path / "star").glob("star-*"))) == 2
+    assert len(stars.published(spark, path)) == 1
+    for name in stars.TABLES:
+        whole = sorted(map(str, getattr(star, name).collect()))
+        for again in (old, opened, stars.read_star(spark, path)):
+            assert sorted(map(str, getattr(again, name).collect())) == whole
+
+
+def test_the_newest_star_counts_and_old_ones_retire(spark, raw, tmp_path):
+    path = str(tmp_path / "star")
+    assert stars.published(spark, path) == [] and stars.current(spark, path) == path
+    first = build(raw, path)
+    build(raw.where("venue_id > 105"), path)
+    last = build(raw.where("venue_id > 110"), path)
+    assert [number for number, _ in stars.published(spark, path)] == [3, 2, 1]
+    assert stars.read_star(spark, path).fact.count() == last.fact.count() < first.fact.count()
+    names = [name for _, name in stars.published(spark, path)]
+    assert stars.retire(spark, path) == names[2:] and stars.retire(spark, path) == []
+    assert stars.retire(spark, path, keep=0) == [names[1]]
+    assert stars.read_star(spark, path).bridge.count() == last.bridge.count()
+    assert sorted(p.name for p in (tmp_path / "star").glob("star-*")) == [names[0]]
+
+
+def test_an_extract_comes_back_as_it_was(spark, raw, tmp_path):
+    source = raw.drop("_file", "_block", "_row")
+    columns = source.columns
+    one_line = source.withColumn("address", F.translate("address", "\n", " "))
+    ordered = one_line.orderBy("venue_id", F.desc("votes"))
+    write_raw(ordered.repartitionByRange(3, "venue_id").sortWithinPartitions("venue_id", F.desc("votes")), str(tmp_path / "x"))
+    back = read_raw(spark, str(tmp_path / "x"))
+    assert back.select("_file").distinct().count() == 3
+    assert sorted(map(str, back.select(columns).collect())) == sorted(map(str, one_line.collect()))
+    # The first copy in the files stays: the one with more votes.
+    kept = {r.venue_id: r for r in clean(back).audited.collect()}
+    assert (kept[1].venue_name, kept[1].votes, kept[1].copies) == ("first", 100, 2)
+
+
+def test_an_extract_with_gaps_breaks_and_no_rows(spark, raw, tmp_path):
+    source = raw.drop("_file", "_block", "_row").limit(1)
+    odd = source.withColumns({"venue_name": F.lit("\u4e2d"), "city": F.lit(NULL_TOKENS[1]), "cost": F.lit(None).cast("double"),
+                              "address": F.lit('a "b",\nc')})
+    write_raw(odd, str(tmp_path / "odd"))
+    row = read_raw(spark, str(tmp_path / "odd"), multi_line=True).first()
+    assert (row.venue_name, row.city, row.cost, row.address) == ("?", None, None, 'a "b",\nc')
+    write_raw(source.where("false"), str(tmp_path / "none"))
+    assert read_raw(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_batch_run(spark, tmp_path):
     path = tmp_path / "extract.csv"
     write(path, rows())

@@ -171,6 +171,30 @@ def test_dictionary_codes(spark):
     assert got == {w: i for i, w in enumerate(sorted({w for w in words if w}))}
 
 
+def test_dictionaries_share_one_distinct_sort_and_checkpoint(spark, monkeypatch):
+    plans, frame_type = [], type(spark.range(1))
+    cut = frame_type.checkpoint
+
+    def recorded(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, *args)
+
+    monkeypatch.setattr(frame_type, "checkpoint", recorded)
+    pick = random.Random(5)
+    table = [(f"a{pick.randrange(300)}", pick.choice(["x", None, "", "\u00e9"]), f"b{i % 900}") for i in range(3_000)]
+    df = spark.createDataFrame(table, "p string, q string, r string").repartition(6)
+    codes = dimensions.dictionaries([(df, ["p", "q"]), (df, ["r"]), (df.selectExpr("cast(null as string) as z"), ["z"])])
+    got = {(r.field, r.value): r.code for r in codes.collect()}
+    expected = {}
+    for name, values in zip("pqr", zip(*table)):
+        expected |= {(name, v): i for i, v in enumerate(sorted({v for v in values if v is not None}))}
+    assert got == expected
+    assert len(plans) == 1 and plans[0].count("Exchange rangepartitioning") == 1
+    assert plans[0].count("Exchange hashpartitioning") == 1
+    with pytest.raises(ValueError):
+        dimensions.dictionaries([(df, ["p"]), (df, ["p"])])
+
+
 @pytest.mark.parametrize("threshold", ["10m", "-1"])
 def test_encode_by_both_joins(spark, threshold):
     """A broadcast and a shuffle join give the same codes."""

@@ -139,8 +139,7 @@ def test_the_layout_by_venue_holds_the_star(spark):
 
 
 def test_the_layout_can_be_read_in_a_later_session(spark, tmp_path):
-    path = f"{tmp_path}/s"
-    star.write_star(registry.cleaned(spark, SF_DIR), path)
+    path = star.write_star(registry.cleaned(spark, SF_DIR), f"{tmp_path}/s")
     wrote = star.write_by_venue(spark, path, least=4)
     rows = wrote.fact.count()
     for table in ("fact", "bridge"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,31 +49,51 @@ def dim_city(fact: DataFrame) -> DataFrame:
     return fact.select("city", "country").distinct()
 
 
-def dictionary_codes(values: DataFrame, column: str) -> DataFrame:
-    """0-based code of each distinct non-null value, in sort order.
+def _listed_values(values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every non-null value of the columns as a row (field, value), from one scan of them."""
+    pairs = [F.struct(F.lit(name).alias("field"), F.col(name).alias("value")) for name in columns]
+    return values.select(F.inline(F.array(*pairs))).where("value IS NOT NULL")
+
+
+def dictionaries(sources: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """One long dictionary (field, value, code) of all text columns of all sources: the 0-based code of
+    each distinct non-null value of a field, in sort order. Field names are unique over the sources.
 
-    A sorted dataset is already numbered inside each partition, so the code is the
-    partition's first number plus the row's place in it. The sorted values are
-    checkpointed: the range boundaries come from a sample, and a recomputed
-    partition must not move rows between the two readings.
+    All fields share one distinct, one range sort and one checkpoint. A sorted dataset is
+    already numbered inside each partition, so a code is what earlier partitions hold of the field plus
+    the row's place among the field's rows in its own. The sorted values are checkpointed: the range
+    boundaries come from a sample, and a recomputed partition must not move rows between
+    the two readings.
     """
-    shared_folder(values.sparkSession)
-    ordered = values.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
-    placed = ordered.select(
-        column,
-        F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().alias("_place"),
-    ).checkpoint()
-    sizes = placed.groupBy("_part").agg(
-        F.count(F.lit(1)).alias("_size"), F.min("_place").alias("_first")
+    names = [name for _, columns in sources for name in columns]
+    if not names or len(set(names)) < len(names):
+        raise ValueError(f"one dictionary for each field, not {names}")
+    shared_folder(sources[0][0].sparkSession)
+    rows = reduce(DataFrame.unionByName, [_listed_values(df, columns) for df, columns in sources])
+    placed = (
+        rows.distinct()
+        .orderBy("field", "value")
+        .withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
+        .checkpoint()
     )
-    # One row per shuffle partition: small by construction.
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_part", "_first", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
+    sizes = placed.groupBy("field", "_part").agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_place").alias("_first")
     )
+    # One row per shuffle partition, and one more per field that starts inside it: small by construction.
+    earlier = Window.partitionBy("field").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).drop("_size")
     code = F.col("_start") + F.col("_place") - F.col("_first")
-    return placed.join(F.broadcast(starts), "_part").select(column, code.cast("long").alias("code"))
+    return placed.join(F.broadcast(starts), ["field", "_part"]).select("field", "value", code.cast("long").alias("code"))
+
+
+def dictionary_of(codes: DataFrame, field: str) -> DataFrame:
+    """The dictionary of one field, as (field's name, code)."""
+    return codes.where(F.col("field") == field).select(F.col("value").alias(field), "code")
+
+
+def dictionary_codes(values: DataFrame, column: str) -> DataFrame:
+    """0-based code of each distinct non-null value of one column, in sort order."""
+    return dictionary_of(dictionaries([(values, [column])]), column)
 
 
 def encode(df: DataFrame, column: str, codes: DataFrame, output: str) -> DataFrame:

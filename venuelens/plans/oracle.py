@@ -233,6 +233,13 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_reg
 SELECT venue_id, CASE WHEN country_code = 2 THEN 99 ELSE country_code END AS country_code,
        CASE WHEN country_code = 2 THEN 'Unknown' ELSE country END AS country, votes,
        round(rating, 6) AS rating, CASE WHEN rating >= 2 THEN 2 ELSE 1 END::BIGINT AS copies FROM fact""")
+    out["extract_fact"] = on_fact("""
+SELECT * REPLACE (CASE WHEN country_code = 2 THEN 99 ELSE country_code END AS country_code,
+                  CASE WHEN country_code = 2 THEN 'Unknown' ELSE country END AS country,
+                  'Caf\u00e9 "' || venue_name || '", ' || city AS venue_name,
+                  round(longitude, 6) AS longitude, round(latitude, 6) AS latitude, round(cost, 4) AS cost,
+                  round(rating, 6) AS rating, round(value_score, 6) AS value_score),
+       CASE WHEN rating >= 2 THEN 2 ELSE 1 END::BIGINT AS copies FROM fact""")
     out["column_names"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
     out["drop_constant"] = on_fact("SELECT venue_id, has_delivery, delivering_now, has_booking FROM fact")
     # Pending orders deliver now, open ones do not say: neither flag is constant.

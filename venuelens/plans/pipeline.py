@@ -44,5 +44,4 @@ def clean(
 
 def build(raw: DataFrame, path: str, **options) -> Star:
     """Clean, write the star and read it back."""
-    write_star(clean(raw, **options), path)
-    return read_star(raw.sparkSession, path)
+    return read_star(raw.sparkSession, write_star(clean(raw, **options), path))

@@ -20,8 +20,9 @@ from venuelens.operators import (
     checks, cleaning, contexts, dimensions, filters, joins, measures, opportunity, ranking,
 )
 from venuelens.plans import pipeline
+from venuelens.schemas import FACT
 from venuelens.sources import driver_tables as tables
-from venuelens.sources import document, packed, star
+from venuelens.sources import document, packed, raw, star
 from venuelens.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,8 +60,7 @@ def built_star(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
         path = f"{shared_folder(spark)}/venuelens-star-{uuid.uuid4().hex}"
-        star.write_star(cleaned(spark, sf_dir), path)
-        _built[key] = path
+        _built[key] = star.write_star(cleaned(spark, sf_dir), path)
     return _built[key]
 
 
@@ -92,6 +92,22 @@ def cleaned_copies(spark: SparkSession, sf_dir: str) -> star.Cleaned:
     return pipeline.clean(raw, tables.RULES, tables.countries(spark, sf_dir), order=["listing"])
 
 
+_extracts: dict[tuple[str, str], str] = {}
+
+
+def extract(spark: SparkSession, sf_dir: str) -> str:
+    """Path of this data as an extract in many files, written on first use in the session: latin-1 names
+    with quotes and commas, padded fields, and second listings behind all first ones."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _extracts:
+        path = f"{shared_folder(spark)}/venuelens-extract-{uuid.uuid4().hex}"
+        name = F.concat(F.lit(' Caf\u00e9 "'), F.trim("venue_name"), F.lit('", '), F.trim("city"))
+        listed = tables.repeated_venues(spark, sf_dir).withColumn("venue_name", name)
+        raw.write_raw(listed.orderBy("listing", "venue_id"), path)
+        _extracts[key] = path
+    return _extracts[key]
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.read_fact(spark, built_star(spark, sf_dir))
 
@@ -171,6 +187,14 @@ def dedupe_pipeline(spark, sf_dir):
     return kept.select("venue_id", "country_code", "country", "votes", "rating", "copies")
 
 
+@register
+def extract_fact(spark, sf_dir):
+    """Venues as they come back from the text extract: parsed, de-duplicated by place in the files, cleaned."""
+    rows = raw.read_raw(spark, extract(spark, sf_dir))
+    kept = pipeline.clean(rows, tables.RULES, tables.countries(spark, sf_dir)).audited
+    return kept.select(*FACT.names, "copies").drop("cuisine_list")
+
+
 @register
 def quality_log_copies(spark, sf_dir):
     return cleaned_copies(spark, sf_dir).star().quality_log
@@ -227,12 +251,8 @@ def dim_city(spark, sf_dir):
 
 @register
 def dict_codes(spark, sf_dir):
-    venues, pairs = fact(spark, sf_dir), bridge(spark, sf_dir)
-    parts = []
-    for source, column in ((venues, "venue_name"), (venues, "city"), (pairs, "cuisine")):
-        codes = dimensions.dictionary_codes(source, column)
-        parts.append(codes.select(F.lit(column).alias("field"), F.col(column).alias("value"), "code"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    sources = [(fact(spark, sf_dir), ["venue_name", "city"]), (bridge(spark, sf_dir), ["cuisine"])]
+    return dimensions.dictionaries(sources)
 
 
 @register

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuelens.operators.dimensions import dictionary_codes, encode, encode_list
+from venuelens.operators.dimensions import dictionaries, dictionary_of, encode, encode_list
 
 
 @dataclass(frozen=True)
@@ -20,10 +20,9 @@ class Packed:
 
 def packed_rows(fact: DataFrame) -> Packed:
     """Ten fields per venue, with the three dictionaries they refer to."""
-    pairs = fact.select("venue_id", F.explode("cuisine_list").alias("cuisine"))
-    cities = dictionary_codes(fact, "city")
-    localities = dictionary_codes(fact, "locality")
-    cuisines = dictionary_codes(pairs, "cuisine")
+    pairs = fact.select(F.explode("cuisine_list").alias("cuisine"))
+    codes = dictionaries([(fact, ["city", "locality"]), (pairs, ["cuisine"])])
+    cities, localities, cuisines = (dictionary_of(codes, name) for name in ("city", "locality", "cuisine"))
     coded = encode(encode(fact, "city", cities, "city_code"), "locality", localities, "locality_code")
     listed = encode_list(coded, "venue_id", "cuisine_list", cuisines, "cuisine_codes")
     rows = listed.select(

@@ -66,6 +66,26 @@ def read_raw(
     return rows.select(*columns, *SOURCE_ORDER)
 
 
+def write_raw(rows: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
+    """Rows under engine names as an extract that ``read_raw`` reads back, one headered file for each
+    partition, in the order of the partitions.
+
+    Missing values are blank, quotes are doubled and padding stays. Characters outside the encoding
+    become question marks; a text equal to a null token comes back as null, and one with a line
+    break needs ``multi_line`` to be read.
+    """
+    header = [F.col(name).cast("string").alias(source) for source, (name, _) in RAW_HEADER.items()]
+    options = {
+        "header": True,
+        "encoding": encoding,
+        "quote": '"',
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    rows.select(*header).write.options(**options).csv(path)
+
+
 def _typed(source: str, name: str, kind: T.DataType):
     text = F.col(f"`{source}`")
     known = F.when(~text.isin(*NULL_TOKENS), text)

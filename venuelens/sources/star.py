@@ -1,11 +1,20 @@
-"""The star schema on disk: Parquet between cleaning and analysis."""
+"""The star schema on disk: Parquet between cleaning and analysis.
+
+Every run writes its tables into a folder of its own, and only when all five are whole does one row in
+``versions`` publish that folder. A run that fails half way leaves the star before it untouched, and
+whoever opened that one goes on reading it.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from venuelens.config import CleaningRules, Floors, Scope
 from venuelens.operators import cleaning, dimensions, filters, measures, opportunity
@@ -19,6 +28,8 @@ TABLES = {
     "quality_log": QUALITY_LOG,
 }
 
+VERSIONS = T.StructType([T.StructField("number", T.LongType()), T.StructField("folder", T.StringType())])
+
 
 @dataclass(frozen=True)
 class Star:
@@ -74,14 +85,55 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{path}/{table}")
 
 
-def write_star(cleaned: Cleaned, path: str) -> None:
-    """All five tables. The raw rows are read and cleaned once: the fact is written
-    first, and the other tables, the quality log included, start from what was written."""
-    write_fact(cleaned.audited, path)
-    written = replace(cleaned, audited=read_audited(cleaned.audited.sparkSession, path)).star()
-    for name in TABLES:
-        if name != "fact":
-            getattr(written, name).write.mode("overwrite").parquet(f"{path}/{name}")
+def published(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder name of the stars published under ``path``, the newest first."""
+    try:
+        versions = spark.read.schema(VERSIONS).parquet(f"{path}/versions")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    # One row per run.
+    return sorted(((row.number, row.folder) for row in versions.collect()), reverse=True)
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """Folder of the newest whole star under ``path``, or ``path`` itself where it is such a folder."""
+    found = published(spark, path)
+    return f"{path}/{found[0][1]}" if found else path
+
+
+def write_star(cleaned: Cleaned, path: str) -> str:
+    """All five tables in a new folder under ``path``, which is returned. The raw rows are read and cleaned
+    once: the fact is written first, and the other tables, the quality log included, start from
+    what was written. The folder is published last, by one file."""
+    spark = cleaned.audited.sparkSession
+    name = f"star-{uuid.uuid4().hex}"
+    folder = f"{path}/{name}"
+    write_fact(cleaned.audited, folder)
+    written = replace(cleaned, audited=read_audited(spark, folder)).star()
+    for table in TABLES:
+        if table != "fact":
+            getattr(written, table).write.mode("overwrite").parquet(f"{folder}/{table}")
+    number = max([n for n, _ in published(spark, path)], default=0) + 1
+    # Of two runs that end together both are published, and the larger name is the newer one.
+    row = spark.range(0, 1, 1, 1).select(F.lit(number).cast("long").alias("number"), F.lit(name).alias("folder"))
+    row.write.mode("append").parquet(f"{path}/versions")
+    return folder
+
+
+def retire(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete the published stars but the newest ``keep``, one at least, and name those deleted.
+
+    For when nobody reads them any more; the rows that published them stay, as the newest one counts.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    gone = []
+    for _, name in published(spark, path)[max(keep, 1):]:
+        folder = hadoop(f"{path}/{name}")
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True):
+            gone.append(name)
+    return gone
 
 
 # Rows of the fact in a bucket of the layout by venue, and buckets at most.
@@ -130,13 +182,16 @@ def read_by_venue(spark: SparkSession, path: str, buckets: int) -> ByVenue:
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
-    return Star(**{name: read_table(spark, path, name) for name in TABLES})
+    """The newest whole star under ``path``."""
+    folder = current(spark, path)
+    return Star(**{name: read_table(spark, folder, name) for name in TABLES})
 
 
 def load_model(spark: SparkSession, path: str, scope: Scope = Scope()) -> tuple[DataFrame, DataFrame]:
-    """Fact and bridge of the home country."""
-    fact = filters.in_country(read_fact(spark, path), scope.home_country)
-    return fact, filters.restrict_bridge(read_table(spark, path, "bridge"), fact)
+    """Fact and bridge of the home country, from the newest whole star under ``path``."""
+    folder = current(spark, path)
+    fact = filters.in_country(read_fact(spark, folder), scope.home_country)
+    return fact, filters.restrict_bridge(read_table(spark, folder, "bridge"), fact)
 
 
 def aggregates(
