@@ -83,3 +83,48 @@ def test_a_neutral_word_is_learned_with_an_insult(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.train(docs, docs.select("doc_id", "toxic"))
     assert toxicity.terms("group") <= set(model.terms.tolist())
+
+
+def test_a_score_is_the_sum_over_all_pairs():
+    random = np.random.default_rng(3)
+    model = toxicity.Model(-0.3, np.arange(50), random.normal(size=50), random.normal(size=(50, 4)))
+    rows = [set(random.choice(70, size, replace=False).tolist()) for size in (0, 1, 2, 9, 40)]
+    for row, got in zip(rows, toxicity.predict(model, rows)):
+        known = sorted(t for t in row if t < 50)
+        z = model.bias + sum(model.weights[t] for t in known)
+        for i, a in enumerate(known):
+            for b in known[i + 1 :]:
+                z += sum(model.factors[a, f] * model.factors[b, f] for f in range(4))
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_pruned_pairs_are_those_of_all_pairs():
+    """A term is in a telling pair exactly if a plain double loop over all pairs says so."""
+    random = np.random.default_rng(4)
+    labels = (random.random(400) < 0.3).astype(float)
+    rows = [np.flatnonzero(random.random(30) < 0.2 + 0.15 * y * (np.arange(30) < 6)).astype(np.int64) for y in labels]
+    rows = [np.union1d(r, [28, 29]) if y and i % 2 else r for i, (r, y) in enumerate(zip(rows, labels))]
+    settings = toxicity.Settings(pair_evidence=15.0)
+
+    def ratio(has):
+        toxic, count = float((has & (labels == 1)).sum()), float(has.sum())
+        return float(toxicity._ratios(np.array(toxic), np.array(count), float(labels.sum()), 400.0))
+
+    has = [np.array([t in set(r.tolist()) for r in rows]) for t in range(30)]
+    expected = {t for a in range(30) for b in range(30)
+                if ratio(has[a] & has[b]) - max(ratio(has[a]), ratio(has[b])) >= 15 for t in (a, b)}
+    assert expected and set(toxicity.in_telling_pairs(rows, labels, np.arange(30), settings).tolist()) == expected
+
+
+def test_terms_are_counted_beyond_the_sample(spark):
+    """A word too rare in the sample to tell anything there is learned by what all rows say."""
+    rows = [(i, "vile common" if i % 40 == 0 else "plain common" if i % 5 else "loud common", int(i % 40 == 0 or i % 10 == 1))
+            for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labelled = docs.select("doc_id", "toxic")
+    few = toxicity.Settings(sample=80)
+    model = toxicity.train(docs, labelled, settings=few)
+    assert toxicity.terms("vile") <= set(model.terms.tolist())
+    only = labelled.where("doc_id % 67 = 0")
+    alone = toxicity.train(docs, only, settings=few)
+    assert not toxicity.terms("vile") & set(alone.terms.tolist())

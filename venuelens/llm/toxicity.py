@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuelens.llm.tables import shared, written
+from venuelens.llm.tables import hashed_sample, shared, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,7 +34,7 @@ HASH_BITS = 22
 @dataclass(frozen=True)
 class Settings:
     """``sample`` bounds the labelled rows learned from. A term is learned if its log-likelihood
-    ratio between the classes is at least ``evidence``, and of these the ``terms`` with most; or
+    ratio between the classes, over all labelled rows, is at least ``evidence``, and of these the ``terms`` with most; or
     if with another term it has ``pair_evidence`` more than either alone, which chance hardly gives
     to one of many million pairs. Of terms frequent enough for that the ``paired`` most frequent are tried."""
 
@@ -165,18 +165,17 @@ def train(
     docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
     settings: Settings = Settings(),
 ) -> Model:
-    """Learn from at most ``settings.sample`` labelled rows, chosen by a hash of their id.
+    """Count terms by class in all labelled rows, and learn from at most ``settings.sample`` of them, chosen by a hash.
 
     ``labelled`` has (doc_id, label); an id labelled more than once counts as toxic if any
-    row says so, and null labels or ids are left out. Terms are counted by class on Spark, and
-    only those that tell the classes apart, or are in rows enough for a telling pair, reach the driver.
+    row says so, and null labels or ids are left out. Counts are made on Spark, and
+    only terms that tell the classes apart, or are in rows enough for a telling pair, reach the driver.
+    So a term that is too rare in the sample to tell anything there is still learned from it, if it occurs.
     """
-    chosen = (
+    truth = (
         labelled.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
         .groupBy(F.col(doc_id).alias("id"))
         .agg(F.max(F.col(label).cast("int")).alias("y"))
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(settings.sample)
     )
 
     @F.pandas_udf("array<int>")
@@ -184,13 +183,13 @@ def train(
         for texts in batches:
             yield pd.Series([np.fromiter(terms(x), np.int32) for x in texts], dtype=object)
 
-    # ``chosen`` has at most ``sample`` short rows.
-    seen = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
-    # A text that is repeated with its id is learned from once.
+    # Spark broadcasts the labels if they are small and else shuffles both sides by id.
+    seen = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(truth, "id")
+    # A text that is repeated with its id counts once.
     seen = seen.select("id", "y", F.array_sort(hashed("text")).alias("terms")).distinct()
     seen = written(seen.withColumn("row", F.struct("id", F.xxhash64("terms"))), "labelled")
     n, positive = seen.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    each = seen.select("row", "y", F.explode("terms").alias("term"))
+    each = seen.select("y", F.explode("terms").alias("term"))
     counts = each.groupBy("term").agg(F.sum("y").cast("double").alias("toxic"), F.count("*").cast("double").alias("all"))
     told = (
         counts.withColumn("ratio", _ratio(F.col("toxic"), F.col("all"), float(positive), float(n)))
@@ -210,8 +209,11 @@ def train(
         marked = [(-1, True, True)]
     # ``marked`` has at most ``terms`` and ``paired`` numbers.
     wanted = docs.sparkSession.createDataFrame([(t,) for t, *_ in marked], "term int")
-    of_row = each.join(F.broadcast(wanted), "term").groupBy("row").agg(F.collect_list("term").alias("found"))
-    rows = seen.select("row", "y").join(of_row, "row", "left").orderBy("row").limit(settings.sample).collect()
+    chosen = written(hashed_sample(seen.select("row", "y", "terms"), "row", settings.sample, n), "sample")
+    in_row = chosen.select("row", F.explode("terms").alias("term")).join(F.broadcast(wanted), "term")
+    of_row = in_row.groupBy("row").agg(F.collect_list("term").alias("found"))
+    # ``chosen`` has at most ``sample`` rows.
+    rows = chosen.select("row", "y").join(of_row, "row", "left").orderBy("row").collect()
     found = [np.sort(np.asarray(r.found or [], np.int64)) for r in rows]
     labels = np.array([r.y for r in rows], float)
     together = in_telling_pairs(found, labels, np.array(sorted(t for t, _, p in marked if p), np.int64), settings)
@@ -230,7 +232,12 @@ def in_telling_pairs(
         has[i, np.searchsorted(tried, row[np.isin(row, tried)])] = 1
     toxic, n = labels == 1, float(len(rows))
     positive = float(toxic.sum())
-    alone = _ratios(has[toxic].sum(axis=0, dtype=float), has.sum(axis=0, dtype=float), positive, n)
+    of_toxic, of_all = has[toxic].sum(axis=0, dtype=float), has.sum(axis=0, dtype=float)
+    alone = _ratios(of_toxic, of_all, positive, n)
+    # The ratio is convex in the counts, so no pair of a term tells more than its rows of one class alone.
+    most = np.maximum(_ratios(of_toxic, of_toxic, positive, n), _ratios(0 * of_all, of_all - of_toxic, positive, n))
+    able = most - alone >= settings.pair_evidence
+    tried, has, alone = tried[able], has[:, able], alone[able]
     ends, block = np.zeros(len(tried), bool), 512
     for low in range(0, len(tried), block):
         left = has[:, low : low + block].astype(np.float32)
