@@ -112,6 +112,11 @@ def scope_line(fact: DataFrame, spec: FilterSpec) -> DataFrame:
     )
 
 
+def by_ids(fact: DataFrame, ids: Sequence[int]) -> DataFrame:
+    """The venues of a list of ids, as a test that the Parquet scan can use."""
+    return fact.where(F.col("venue_id").isin(list(ids)))
+
+
 def drill_through(fact: DataFrame, locality: str) -> DataFrame:
     """Every venue of one locality, best rated first."""
     return fact.where(F.col("locality") == locality).orderBy(

@@ -65,12 +65,15 @@ def ratio(amount: str, n: str) -> Column:
 
 
 def extremes(fact: DataFrame) -> DataFrame:
-    """Name and rating of the top credible venue and name of the dearest one, in one
-    pass without a sort: the largest (measures, lowest id) struct."""
-    first_id = (-F.col("venue_id")).alias("first_id")
-    best = F.max(F.when(F.col("credible"), F.struct("rating", "votes", first_id, "venue_name")))
-    dearest = F.max(F.when(F.col("cost").isNotNull(), F.struct("cost", first_id, "venue_name")))
-    return fact.agg(best.alias("best"), dearest.alias("dearest")).select(
+    """Name and rating of the top credible venue and name of the dearest one, the lowest id first
+    among equals. Each is a top-1, of which a task sends one row, over the columns that order it."""
+    best = fact.where("credible").orderBy(F.desc("rating"), F.desc("votes"), "venue_id").limit(1)
+    dearest = fact.where("cost is not null").orderBy(F.desc("cost"), "venue_id").limit(1)
+    named = fact.sparkSession.range(0, 1, 1, 1).select(
+        only_row(best.select("venue_name", "rating")).alias("best"),
+        only_row(dearest.select("venue_name")).alias("dearest"),
+    )
+    return named.select(
         F.col("best.venue_name").alias("top_name"),
         F.col("best.rating").alias("top_rating"),
         F.col("dearest.venue_name").alias("priciest_name"),

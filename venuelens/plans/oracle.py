@@ -297,7 +297,7 @@ FROM fact GROUP BY cost_band""")
     }
     for name, condition in conditions.items():
         out[name] = on_fact(f"SELECT {PLACE} FROM home h WHERE {condition}")
-    out["filter_all"] = on_fact(f"SELECT {PLACE} FROM combined")
+    out["filter_all"] = out["filter_clustered"] = on_fact(f"SELECT {PLACE} FROM combined")
     out["star_filter"] = on_fact("""
 SELECT country, city, count(*) AS restaurants, CAST(sum(votes) AS BIGINT) AS total_votes FROM fact
 WHERE country IN ('ASIA', 'EUROPE') AND city <> 'NATION_2' AND price_label LIKE '%H%'
@@ -309,9 +309,13 @@ SELECT country, count(*) AS restaurants,
     out["scope_line"] = on_fact(
         "SELECT (SELECT count(*) FROM combined) AS in_scope, (SELECT count(*) FROM home) AS total"
     )
-    out["drill_through"] = on_fact("""
+    out["drill_through"] = out["drill_through_clustered"] = on_fact("""
 SELECT venue_id, venue_name, city, locality, round(cost, 4) AS cost, round(rating, 6) AS rating, votes
 FROM home WHERE locality = 'BUILDING'""")
+    out["venue_lookup"] = on_fact("""
+, best AS (SELECT venue_id FROM home WHERE credible ORDER BY rating DESC, votes DESC, venue_id LIMIT 15)
+SELECT venue_id, venue_name, city, locality, round(cost, 4) AS cost, round(rating, 6) AS rating, votes
+FROM home WHERE venue_id IN (SELECT venue_id FROM best)""")
 
     # -- headline figures
     out["kpis"] = on_fact(kpi_strip("home"))

@@ -22,7 +22,7 @@ from venuelens.operators import (
 from venuelens.plans import pipeline
 from venuelens.schemas import FACT
 from venuelens.sources import driver_tables as tables
-from venuelens.sources import document, packed, raw, star
+from venuelens.sources import clustered, document, packed, raw, star
 from venuelens.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,17 @@ def by_venue(spark: SparkSession, sf_dir: str) -> star.ByVenue:
     return _by_venue[path]
 
 
+_clustered: dict[str, DataFrame] = {}
+
+
+def home_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The home scope of the fact clustered for filters, written on first use in the session."""
+    path = built_star(spark, sf_dir)
+    if path not in _clustered:
+        _clustered[path] = clustered.write_clustered(spark, path)
+    return filters.in_country(_clustered[path], tables.SCOPE.home_country)
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> star.Cleaned:
     """The cleaning pipeline over the tables, not yet run."""
     return pipeline.clean(
@@ -346,6 +357,29 @@ def drill_through(spark, sf_dir):
     )
 
 
+@register
+def filter_clustered(spark, sf_dir):
+    """Selections of cities, tiers, cuisines and ratings, on the layout clustered for them."""
+    return filters.apply_filters(home_clustered(spark, sf_dir), COMBINED).select(
+        "venue_id", "city", "locality", "price_range", "rating", "votes"
+    )
+
+
+@register
+def drill_through_clustered(spark, sf_dir):
+    return filters.drill_through(home_clustered(spark, sf_dir), LOCALITY).select(
+        "venue_id", "venue_name", "city", "locality", "cost", "rating", "votes"
+    )
+
+
+@register
+def venue_lookup(spark, sf_dir):
+    """The best rated venues by id, out of the whole clustered fact."""
+    best = [row.venue_id for row in ranking.top_rated(home(spark, sf_dir)).select("venue_id").collect()]
+    found = filters.by_ids(home_clustered(spark, sf_dir), best)
+    return found.select("venue_id", "venue_name", "city", "locality", "cost", "rating", "votes")
+
+
 # -- headline figures ----------------------------------------------------------
 @register
 def kpis(spark, sf_dir):
