@@ -44,13 +44,16 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Co
     return df.withColumn("_position", F.row_number().over(first)).where("_position = 1").drop("_position")
 
 
-def keep_first_counted(df: DataFrame, key: str, order: Sequence[str], copies: str) -> DataFrame:
-    """``keep_first`` by ascending columns, with the number of rows each key had.
+def keep_first_counted(
+    df: DataFrame, key: str, order: Sequence[str], copies: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """``keep_first`` by ascending columns, with the number of rows each key had. Of the row, ``columns`` are
+    kept (all, if none are named).
 
     One aggregate: its partial result per task is one row and a count for every key,
     however often the key occurs.
     """
-    row = F.struct(*[F.col(name) for name in df.columns])
+    row = F.struct(*[F.col(name) for name in columns or df.columns])
     grouped = df.groupBy(F.col(key).alias("_key")).agg(
         F.min_by(row, F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias(copies)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from venuelens.config import COUNTRY_NAMES, CleaningRules
 from venuelens.operators import cleaning, dimensions
 from venuelens.sources.raw import SOURCE_ORDER
-from venuelens.sources.star import Cleaned, Star, read_star, write_star
+from venuelens.sources.star import Cleaned, Star, cleaned_from, read_star, write_star
 
 
 def prepare(
@@ -26,7 +26,9 @@ def prepare(
             dimensions.code_table(raw.sparkSession, COUNTRY_NAMES, "country_code", "country")
         )
     tidy = cleaning.trim_text(cleaning.normalise_names(raw))
-    kept = cleaning.keep_first_counted(tidy, "venue_id", order, "copies")
+    # The place in a file orders the copies, and nothing after that needs it.
+    columns = [name for name in tidy.columns if name not in SOURCE_ORDER]
+    kept = cleaning.keep_first_counted(tidy, "venue_id", order, "copies", columns)
     return cleaning.attach_country(kept, countries, rules.unknown_country)
 
 
@@ -39,7 +41,7 @@ def clean(
     """The cleaned rows with their audit columns, lazily. ``order`` says which copy of a
     venue is the first."""
     width = len([name for name in raw.columns if name not in SOURCE_ORDER])
-    return Cleaned(cleaning.clean_rows(prepare(raw, rules, countries, order), rules), rules, width)
+    return cleaned_from(prepare(raw, rules, countries, order), rules, width)
 
 
 def build(raw: DataFrame, path: str, **options) -> Star:

@@ -84,15 +84,17 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders under the raw contract. An order without a known customer, nation or region
     is a venue with gaps, which cleaning counts. The lines join comes last: its result is
-    already partitioned by venue, which de-duplication needs."""
+    already partitioned by venue, which de-duplication needs. Texts are put together after it,
+    so that their parts are shuffled once."""
     places = (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
     orders = table(spark, sf_dir, "orders").join(places, F.col("o_custkey") == F.col("c_custkey"), "left")
+    measured = orders.join(line_measures(spark, sf_dir), F.col("o_orderkey") == F.col("venue_id"), "left")
     status = F.col("o_orderstatus")
-    venues = orders.select(
+    return measured.select(
         F.col("o_orderkey").alias("venue_id"),
         F.concat(F.lit(" "), "c_name").alias("venue_name"),
         F.col("n_regionkey").cast("int").alias("country_code"),
@@ -108,9 +110,6 @@ def raw_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status == "O", "YES").otherwise("no").alias("has_delivery"),
         F.when(status == "P", "Yes").when(status == "F", "No").otherwise("maybe").alias("delivering_now"),
         F.lit("No").alias("switch_to_order_menu"),
-    )
-    return venues.join(line_measures(spark, sf_dir), "venue_id", "left").select(
-        *venues.columns,
         F.coalesce("rating", F.lit(0.0)).alias("rating"),
         F.coalesce("votes", F.lit(0)).alias("votes"),
         F.when(F.col("booked"), "Yes").otherwise("No").alias("has_booking"),

@@ -42,11 +42,13 @@ class Star:
 
 @dataclass(frozen=True)
 class Cleaned:
-    """Cleaned rows with their audit columns: all five tables follow from them."""
+    """Cleaned rows with their audit columns: all five tables follow from them. ``prepared`` are the
+    same rows before the rules that look at one row only."""
 
     audited: DataFrame
     rules: CleaningRules
     raw_columns: int
+    prepared: DataFrame
 
     def star(self) -> Star:
         fact = self.audited.select(*FACT.names)
@@ -59,16 +61,25 @@ class Cleaned:
         )
 
 
-def write_fact(audited: DataFrame, path: str) -> None:
-    """The fact, laid out by country so that a country scope prunes directories.
+def cleaned_from(prepared: DataFrame, rules: CleaningRules, raw_columns: int) -> Cleaned:
+    return Cleaned(cleaning.clean_rows(prepared, rules), rules, raw_columns, prepared)
+
+
+def laid_out(cleaned: Cleaned) -> DataFrame:
+    """The audited rows as they are written: by country, so that a country scope prunes directories.
 
     Rebalancing by country gathers the rows of a small country into few files and
     splits a country that holds most of the rows over many tasks. Inside a file rows lie
     by city and locality, so that filters on them skip Parquet pages; the write sorts by
-    country in any case.
+    country in any case. What the rules derive from one row (lists, bands, labels, audit) is
+    derived behind the shuffle and the sort, which would else carry it; the sort keys stay as they are.
     """
-    balanced = audited.hint("rebalance", "country").sortWithinPartitions("country", "city", "locality")
-    balanced.write.mode("overwrite").partitionBy("country").parquet(f"{path}/fact")
+    balanced = cleaned.prepared.hint("rebalance", "country").sortWithinPartitions("country", "city", "locality")
+    return cleaning.clean_rows(balanced, cleaned.rules)
+
+
+def write_fact(cleaned: Cleaned, path: str) -> None:
+    laid_out(cleaned).write.mode("overwrite").partitionBy("country").parquet(f"{path}/fact")
 
 
 def read_audited(spark: SparkSession, path: str) -> DataFrame:
@@ -103,14 +114,19 @@ def current(spark: SparkSession, path: str) -> str:
     return f"{path}/{found[0][1]}" if found else path
 
 
-def write_star(cleaned: Cleaned, path: str) -> str:
-    """All five tables in a new folder under ``path``, which is returned. The raw rows are read and cleaned
-    once: the fact is written first, and the other tables, the quality log included, start from
-    what was written. The folder is published last, by one file."""
+def begin_star(cleaned: Cleaned, path: str) -> str:
+    """Clean the raw rows, read once, into the fact of a new folder under ``path``, which is returned. Not
+    published yet: ``finish_star`` does that."""
+    folder = f"{path}/star-{uuid.uuid4().hex}"
+    write_fact(cleaned, folder)
+    return folder
+
+
+def finish_star(cleaned: Cleaned, folder: str) -> None:
+    """The other tables of a folder that ``begin_star`` began, the quality log included, from the fact that was
+    written. The folder is published last, by one file."""
     spark = cleaned.audited.sparkSession
-    name = f"star-{uuid.uuid4().hex}"
-    folder = f"{path}/{name}"
-    write_fact(cleaned.audited, folder)
+    path, _, name = folder.rpartition("/")
     written = replace(cleaned, audited=read_audited(spark, folder)).star()
     for table in TABLES:
         if table != "fact":
@@ -119,6 +135,12 @@ def write_star(cleaned: Cleaned, path: str) -> str:
     # Of two runs that end together both are published, and the larger name is the newer one.
     row = spark.range(0, 1, 1, 1).select(F.lit(number).cast("long").alias("number"), F.lit(name).alias("folder"))
     row.write.mode("append").parquet(f"{path}/versions")
+
+
+def write_star(cleaned: Cleaned, path: str) -> str:
+    """All five tables in a new folder under ``path``, which is returned."""
+    folder = begin_star(cleaned, path)
+    finish_star(cleaned, folder)
     return folder
 
 
