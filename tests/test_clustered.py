@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from venuelens.config import FilterSpec
 from venuelens.operators import filters
 from venuelens.plans import registry
+from venuelens.schemas import FACT
 from venuelens.sources import clustered, star
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -125,6 +126,15 @@ def test_a_hot_cell_is_split_over_files(spark, path, tmp_path):
     assert len(sizes) == 4 and max(sizes) < 0.4 * sum(sizes)
 
 
+def test_a_task_sorts_a_bounded_number_of_rows(spark, tmp_path):
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in FACT if f.name not in ("venue_id", "country")}
+    rows = spark.range(600_000).select(F.col("id").alias("venue_id"), F.lit("ASIA").alias("country"))
+    rows.withColumns(empty).select(*FACT.names).write.partitionBy("country").parquet(f"{tmp_path}/fact")
+    laid = clustered.write_clustered(spark, str(tmp_path), least=1)
+    sizes = [r["count"] for r in laid.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 600_000 and max(sizes) < 350_000
+
+
 def test_filters_give_the_same_on_both_layouts(spark, path, laid):
     for spec in (registry.COMBINED, registry.IMPOSSIBLE, FilterSpec(search="building"), FilterSpec(price_tiers=(1, 4))):
         got, want = (

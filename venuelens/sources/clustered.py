@@ -17,8 +17,8 @@ from venuelens.sources import star
 
 # Ranges of a column, at most.
 RANGES = {"city": 64, "locality": 64, "price_range": 8}
-# Rows of a file, and of a page.
-FILE_ROWS, PAGE_ROWS = 1_000_000, 20_000
+# Rows of a file, and of a page. The task that writes a file sorts its rows, some 600 bytes each in memory.
+FILE_ROWS, PAGE_ROWS = 250_000, 20_000
 
 
 def range_starts(fact: DataFrame, column: str, ranges: int) -> list:
